@@ -79,7 +79,7 @@ def status_of_event(event_type: Column) -> Column:
 
 
 def alert_message(parcel_id: Column, delay: Column, event_type: Column) -> Column:
-    whole = F.bround(delay, 0).cast("bigint").cast("string")
+    whole = F.rint(delay).cast("bigint").cast("string")
     return F.concat(F.lit("Colis "), parcel_id, F.lit(" en retard de "), whole,
                     F.lit(" min ("), event_type, F.lit(")"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parceltide import constants as K
 from parceltide.functions import derive, parse
+from parceltide.functions.aggregates import round_double
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 _PLAN_SIDE = ("parcel_id", "client_id", "route_id", "planned_pickup", "planned_delivery")
@@ -53,7 +54,7 @@ def alerts_of(correlated: DataFrame, threshold: float = K.ALERT_THRESHOLD_MIN) -
         "parcel_id",
         F.lit(K.ALERT_TYPE).alias("alert_type"),
         derive.severity(delay).alias("severity"),
-        F.bround(delay, 1).alias("delay_min"),
+        round_double(delay, 1).alias("delay_min"),
         "event_type", "hub_id", "client_id", "route_id",
         derive.alert_message(F.col("parcel_id"), delay, F.col("event_type")).alias("message"),
         F.col("event_timestamp").alias("created_at"),

@@ -1,20 +1,35 @@
-"""The registered queries: each takes (spark, folder of driver tables) and returns a DataFrame."""
+"""The registered queries: each takes (spark, folder of driver tables) and returns a DataFrame.
+
+Tables that several queries need (the store, landed files, the trained model, the outputs of the
+stream) are derived once per application and written to the shared folder.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parceltide.operators import correlate, golden, store_queries as Q
+from parceltide import constants as K
+from parceltide.functions import parse, text
+from parceltide.operators import (
+    conversation, correlate, features, golden, model, report, scoring, shaping,
+    store_queries as Q, upsert,
+)
 from parceltide.plans.named import run_named_query
 from parceltide.plans.store import Store, build_store
 from parceltide.session import apply_session_conf, shared_dir
-from parceltide.sources import testdata
+from parceltide.sources import files, seeds, testdata, topics
+from parceltide.streaming import timeline, tower
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Tables derived once per application and driver folder.
+FILES_PER_BATCH = 6
+_EVENT_COLUMNS = ("event_id", "parcel_id", "event_type", "event_timestamp", "hub_id",
+                  "latitude", "longitude")
+# Rounds of the registered model queries; a real training run takes the default settings.
+_DEMO_MODEL = model.RiskModelSettings(rounds=3, max_depth=3)
+
 _built: dict[tuple[str, str, str], object] = {}
 
 
@@ -25,25 +40,124 @@ def once(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[], object
     return _built[key]
 
 
-def store(spark: SparkSession, sf_dir: str) -> Store:
-    def build() -> Store:
-        return build_store(
-            spark, shared_dir(spark, "store"),
-            testdata.planned_shipments(spark, sf_dir), testdata.delivery_events(spark, sf_dir),
-            plan_order=("planned_pickup", "planned_delivery"),
-        )
-
-    return once(spark, sf_dir, "store", build)
+# --- shared tables ---------------------------------------------------------------------------
 
 
-_EVENT_COLUMNS = ("event_id", "parcel_id", "event_type", "event_timestamp", "hub_id",
-                  "latitude", "longitude")
+def store(spark: SparkSession, sf_dir: str) -> Store:
+    return once(spark, sf_dir, "store", lambda: build_store(
+        spark, shared_dir(spark, "store"),
+        testdata.planned_shipments(spark, sf_dir), testdata.delivery_events(spark, sf_dir),
+        plan_order=("planned_pickup", "planned_delivery"), log_unit="year",
+    ))
 
 
 def _events(s: Store) -> DataFrame:
     return s.events.select(*_EVENT_COLUMNS)
 
 
+def _csv_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Plan and events as CSV files."""
+
+    def build() -> str:
+        path, s = shared_dir(spark, "csv"), store(spark, sf_dir)
+        s.plan.withColumns({
+            c: parse.iso_text(F.col(c)) for c in ("planned_pickup", "planned_delivery")
+        }).write.option("header", True).csv(f"{path}/planned")
+        _events(s).drop("event_id").withColumn(
+            "event_timestamp", parse.iso_text(F.col("event_timestamp"))
+        ).write.option("header", True).csv(f"{path}/events")
+        return path
+
+    return once(spark, sf_dir, "csv", build)
+
+
+def _page_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Customers as pages of a hundred records."""
+
+    def build() -> str:
+        path = shared_dir(spark, "pages")
+        record = F.struct(F.struct("c_custkey", "c_name", "c_acctbal").alias("row"))
+        testdata.table(spark, sf_dir, "customer").groupBy(
+            F.floor(F.col("c_custkey") / 100)
+        ).agg(F.collect_list(record).alias("rows")).select("rows").write.json(path)
+        return path
+
+    return once(spark, sf_dir, "pages", build)
+
+
+def _topic_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Both topics as message files, the plans published first."""
+
+    def build() -> str:
+        path, s = shared_dir(spark, "topics"), store(spark, sf_dir)
+        topics.publish_files(topics.encode_planned(s.plan), path)
+        topics.publish_files(topics.encode_events(_events(s)), path)
+        return path
+
+    return once(spark, sf_dir, "topics", build)
+
+
+def _topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topics.stream_file_topic(spark, _topic_landing(spark, sf_dir), FILES_PER_BATCH)
+
+
+def _tower(spark: SparkSession, sf_dir: str) -> tower.TowerTables:
+    """The control-tower stream, run to the end of the landed topics."""
+
+    def build() -> tower.TowerTables:
+        path = shared_dir(spark, "tower")
+        messages = _topic_stream(spark, sf_dir)
+        tower.start_tower(messages, path, refresh_kpi=True).awaitTermination()
+        return tower.TowerTables(spark, path)
+
+    return once(spark, sf_dir, "tower", build)
+
+
+def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled training rows with their features, written once."""
+
+    def build() -> str:
+        path, s = shared_dir(spark, "training"), store(spark, sf_dir)
+        index = _label_index(spark, sf_dir)
+        rows = features.training_set(s.plan, _events(s))
+        features.with_features(features.encode_labels(rows, index)).write.parquet(path)
+        return path
+
+    return spark.read.parquet(once(spark, sf_dir, "training", build))
+
+
+def _label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> str:
+        path = shared_dir(spark, "label-index")
+        features.save_label_index(features.fit_label_index(store(spark, sf_dir).plan), path)
+        return path
+
+    return features.load_label_index(spark, once(spark, sf_dir, "label-index", build))
+
+
+def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> DataFrame:
+        rows = _training(spark, sf_dir)
+        return features.rank_by_hash(rows, shared_dir(spark, "ranked"))
+
+    return once(spark, sf_dir, "ranked", build)
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.stratified_split(_ranked(spark, sf_dir))
+
+
+def _model(spark: SparkSession, sf_dir: str):
+    def build():
+        train_rows = _split(spark, sf_dir).filter(~F.col("is_test"))
+        return model.train(train_rows, _DEMO_MODEL)
+
+    return once(spark, sf_dir, "model", build)
+
+
+# --- queries -----------------------------------------------------------------------------------
+
+
 def _on_store(build: Callable[[Store], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(store(spark, sf_dir))
 
@@ -63,6 +177,7 @@ def _store_queries() -> dict[str, Query]:
         "message_counts": lambda s: correlate.message_counts(_events(s), s.plan),
         "event_span": lambda s: correlate.event_span(s.events),
         "dedup_events": lambda s: correlate.dedup_events(_events(s)),
+        "canonical_events": lambda s: topics.canonical_events(_events(s)),
         "delayed_parcels": lambda s: Q.delayed_parcels(s.state),
         "at_risk_parcels": lambda s: Q.at_risk_parcels(s.state),
         "risk_or_late_parcels": lambda s: Q.risk_or_late_parcels(s.state),
@@ -83,14 +198,206 @@ def _store_queries() -> dict[str, Query]:
             s.events, event_type="delivered", hub_id="HUB_LYON").drop("ingested_at"),
         "event_timeline": lambda s: Q.event_timeline(s.events),
         "normalise_result": lambda s: run_named_query(s, "delayed_parcels"),
+        "heuristic_risk": lambda s: scoring.heuristic_risk(s.plan),
+        "route_profile": lambda s: scoring.with_route_profile(
+            s.plan.select("parcel_id", "route_id"), s.routes),
+        "training_set": lambda s: features.training_set(s.plan, _events(s)).select(
+            "parcel_id", "actual_pickup", "actual_delivery", "delay_minutes", "risk_label",
+            "copies"),
+        "label_encode": lambda s: features.fit_label_index(s.plan),
+        "label_distribution": lambda s: features.label_distribution(
+            features.training_set(s.plan, _events(s))),
+        "class_weights": lambda s: features.class_weights(
+            features.training_set(s.plan, _events(s))),
+        "classification_report": lambda s: report.classification_report(
+            _heuristic_predictions(s), F.col("copies")),
     }
     return {name: _on_store(build) for name, build in by_store.items()}
 
 
-def queries() -> dict[str, Query]:
-    registered = {**_store_queries()}
+def _heuristic_predictions(s: Store) -> DataFrame:
+    """Heuristic level of every training row next to its label."""
+    level = scoring.heuristic_risk(s.plan).select(
+        "parcel_id",
+        (F.array_position(F.array(*[F.lit(c) for c in K.RISK_CLASSES]), F.col("risk_level")) - 1)
+        .alias("prediction"),
+    )
+    return features.training_set(s.plan, _events(s)).select(
+        "parcel_id", F.col("risk_label").alias("label"), "copies"
+    ).join(level, "parcel_id")
+
+
+def scan_planned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.scan_planned(spark, f"{_csv_landing(spark, sf_dir)}/planned").drop("arrival")
+
+
+def scan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.scan_events(spark, f"{_csv_landing(spark, sf_dir)}/events").drop(
+        "event_id", "event_timestamp_text")
+
 
+def clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = testdata.table(spark, sf_dir, "customer")
+    return shaping.clean_columns(customers.toDF(*[f"  {c} " for c in customers.columns]))
+
+
+def flatten_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    record = testdata.table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_acctbal").schema
+    return files.flatten_pages(spark, _page_landing(spark, sf_dir), record)
+
+
+def seed_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients already in the store, one per market segment, completed by the seed."""
+    segments = testdata.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("CLIENT_"), F.substring("c_mktsegment", 1, 1)).alias("client_id"),
+        F.col("c_mktsegment").alias("client_name"),
+        F.lit(24.0).alias("sla_hours"), F.lit(1).alias("priority"),
+    ).distinct()
+    return upsert.insert_if_absent(segments, seeds.clients(spark), "client_id")
+
+
+def upsert_planned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plans of all orders sent again half an hour later, with fog."""
+    later = {
+        c: F.timestamp_add("MINUTE", F.lit(30), F.col(c))
+        for c in ("planned_pickup", "planned_delivery")
+    }
+    sent = testdata.order_plans(spark, sf_dir).withColumns(
+        {**later, "weather_condition": F.lit("fog")})
+    plan = golden.fold_plan(sent, ("planned_pickup", "planned_delivery"))
+    return upsert.upsert_planned(store(spark, sf_dir).state, plan)
+
+
+def publish_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events published as keyed JSON messages and decoded again."""
+    def build() -> str:
+        path = shared_dir(spark, "published")
+        topics.publish_files(topics.encode_events(_events(store(spark, sf_dir))), path)
+        return path
+
+    path = once(spark, sf_dir, "published", build)
+    return topics.decode_events(topics.read_file_topic(spark, path))
+
+
+def parse_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON payloads decoded with a default and encoded in canonical form."""
+    payload = F.from_json("props", "k bigint")
+    rows = testdata.table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.coalesce(payload["k"], F.lit(0)).alias("k"))
+    return rows.withColumn("payload", F.to_json(F.struct("event_id", "event_type", "k")))
+
+
+def parse_latlon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``"lat,lon"`` text from two numbers; views get a third part, clicks a broken first one."""
+    parts = [F.col("value").cast("string"), F.col("user_id").cast("string")]
+    kind = F.col("event_type")
+    rows = testdata.table(spark, sf_dir, "events").select(
+        "event_id", "event_type",
+        F.when(kind == "view", F.concat_ws(",", *parts, F.col("event_id").cast("string")))
+        .when(kind == "click", F.concat(F.lit("x"), F.concat_ws(",", *parts)))
+        .otherwise(F.concat_ws(" , ", *parts)).alias("Org_lat_lon"),
+    )
+    return files.parse_latlon_columns(rows, {"Org_lat_lon": "origin"}).drop("Org_lat_lon")
+
+
+def strip_think(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with a reasoning block in front, stripped of it."""
+    reply = F.concat(F.lit("<think>"), "role", F.lit("\n"), "text", F.lit("</think>\n "), "text")
+    return testdata.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", text.strip_think(reply).alias("reply"))
+
+
+def chat_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.chat_context(testdata.table(spark, sf_dir, "conversations"))
+
+
+def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = features.encode_labels(store(spark, sf_dir).plan, _label_index(spark, sf_dir))
+    return features.with_features(encoded).select("parcel_id", *K.FEATURE_COLUMNS)
+
+
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir).select(
+        "parcel_id", "actual_delivery", "risk_label", "group_rank", "is_test")
+
+
+def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.stratified_folds(_ranked(spark, sf_dir)).select(
+        "parcel_id", "actual_delivery", "risk_label", "fold")
+
+
+def train_risk_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report of the trained model on the held-out rows."""
+    return model.evaluate(
+        _model(spark, sf_dir), _split(spark, sf_dir).filter("is_test"))
+
+
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.feature_importance(_model(spark, sf_dir), spark)
+
+
+def score_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = features.encode_labels(store(spark, sf_dir).plan, _label_index(spark, sf_dir))
+    return model.score_parcels(_model(spark, sf_dir), features.with_features(encoded))
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> str:
+        path = shared_dir(spark, "ingest")
+        messages = _topic_stream(spark, sf_dir)
+        timeline.start_ingest(messages, path).awaitTermination()
+        return path
+
+    path = once(spark, sf_dir, "ingest", build)
+    return spark.read.parquet(f"{path}/messages").drop("value", "hub_id")
+
+
+def stream_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> str:
+        path = shared_dir(spark, "timeline")
+        messages = _topic_stream(spark, sf_dir)
+        timeline.start_timeline(messages, path).awaitTermination()
+        return path
+
+    return timeline.read_timeline(spark, once(spark, sf_dir, "timeline", build))
+
+
+def stream_golden_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tower(spark, sf_dir).state()
+
+
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tower(spark, sf_dir).alerts.drop("batch_id")
+
+
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tower(spark, sf_dir).errors.drop("batch_id")
+
+
+def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI row of the last micro-batch."""
+    kpis = _tower(spark, sf_dir).kpis
+    return kpis.orderBy(F.col("batch_id").desc()).limit(1).drop("batch_id")
+
+
+_OTHER: dict[str, Query] = {
+    "scan_planned": scan_planned, "scan_events": scan_events, "clean_columns": clean_columns,
+    "flatten_pages": flatten_pages, "seed_dimensions": seed_dimensions,
+    "upsert_planned": upsert_planned, "publish_events": publish_events,
+    "parse_payloads": parse_payloads, "parse_latlon": parse_latlon, "strip_think": strip_think,
+    "chat_context": chat_context, "features": feature_rows,
+    "stratified_split": stratified_split, "stratified_folds": stratified_folds,
+    "train_risk_model": train_risk_model, "feature_importance": feature_importance,
+    "score_parcels": score_parcels, "stream_ingest": stream_ingest,
+    "stream_timeline": stream_timeline, "stream_golden_record": stream_golden_record,
+    "stream_alerts": stream_alerts, "stream_dead_letters": stream_dead_letters,
+    "stream_kpi": stream_kpi,
+}
+
+
+def queries() -> dict[str, Query]:
     def prepared(query: Query) -> Query:
         return lambda spark, sf_dir: query(apply_session_conf(spark), sf_dir)
 
-    return {name: prepared(query) for name, query in registered.items()}
+    return {name: prepared(query) for name, query in {**_store_queries(), **_OTHER}.items()}

@@ -52,16 +52,16 @@ class Store:
         return seeds.routes(self.spark)
 
 
-def write_event_log(events: DataFrame, path: str, unit: str = "month", mode: str = "append") -> None:
-    """Append events partitioned by the day or month they happened in.
+def write_event_log(events: DataFrame, path: str, unit: str = "day", mode: str = "append") -> None:
+    """Append events partitioned by the day, month or year they happened in.
 
     The rebalance hint lets AQE size the files: small partitions are merged and a period that
     holds most of the events is written by several tasks.
     """
-    period = F.trunc(F.col("event_timestamp").cast("date"), "month")
-    if unit == "day":
-        period = F.col("event_timestamp").cast("date")
     name = f"event_{unit}"
+    period = F.col("event_timestamp").cast("date")
+    if unit != "day":
+        period = F.trunc(period, unit)
     (
         events.withColumn(name, period)
         .withColumn("ingested_at", F.current_timestamp())
@@ -71,7 +71,7 @@ def write_event_log(events: DataFrame, path: str, unit: str = "month", mode: str
 
 
 def build_store(spark: SparkSession, path: str, planned: DataFrame, events: DataFrame,
-                plan_order: tuple[str, ...]) -> Store:
+                plan_order: tuple[str, ...], log_unit: str = "day") -> Store:
     """Ingest plan and events and derive every table. Each step reads what the step before
     wrote, so no lineage is computed twice."""
     store = Store(spark, path)
@@ -80,7 +80,7 @@ def build_store(spark: SparkSession, path: str, planned: DataFrame, events: Data
         df.write.mode("overwrite").parquet(f"{path}/{name}")
 
     write(golden.fold_plan(planned, plan_order), "planned_shipments")
-    write_event_log(events, f"{path}/delivery_events_log", mode="overwrite")
+    write_event_log(events, f"{path}/delivery_events_log", log_unit, mode="overwrite")
     plan, log = store.plan, store.events
     # Rows of one hub lie together inside each file, so hub filters skip row groups.
     write(

@@ -50,5 +50,6 @@ CLIENTS = _struct(
     client_id=_STR, client_name=_STR, sla_hours=_DBL, priority=T.IntegerType(),
 )
 
-# A message of either topic before decoding.
-TOPIC_MESSAGE = _struct(topic=_STR, key=_STR, value=_STR)
+# A message of either topic before decoding. ``(at_us, at_seq)`` is its arrival order, as the
+# record timestamp and offset are in Kafka.
+TOPIC_MESSAGE = _struct(topic=_STR, key=_STR, value=_STR, at_us=T.LongType(), at_seq=_STR)
