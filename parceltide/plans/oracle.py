@@ -114,11 +114,47 @@ _CTE = {
                event_timestamp AS created_at, FALSE AS acknowledged
         FROM joined WHERE known AND delay_minutes > 15)""",
 }
+_CTE.update({
+    # The plan joined to its pickups and deliveries row by row, as the training files are.
+    "pairs": """pairs AS (
+        SELECT p.*, u.event_timestamp AS actual_pickup, d.event_timestamp AS actual_delivery,
+               coalesce((epoch_us(d.event_timestamp) - epoch_us(p.planned_delivery)) / 60000000.0::DOUBLE, 0.0::DOUBLE) AS delay_minutes
+        FROM planned p
+        LEFT JOIN (SELECT * FROM ev WHERE event_type = 'pickup') u ON u.parcel_id = p.parcel_id
+        LEFT JOIN (SELECT * FROM ev WHERE event_type = 'delivered') d ON d.parcel_id = p.parcel_id)""",
+    "labelled": """labelled AS (
+        SELECT *, CASE WHEN delay_minutes <= 15 THEN 0 WHEN delay_minutes <= 60 THEN 1 ELSE 2 END AS risk_label FROM pairs)""",
+    "train": """train AS (
+        SELECT parcel_id, max(actual_pickup) AS actual_pickup, actual_delivery, delay_minutes, risk_label, count(*) AS copies
+        FROM labelled GROUP BY parcel_id, actual_delivery, delay_minutes, risk_label)""",
+    "ordered": """ordered AS (
+        SELECT *, row_number() OVER (PARTITION BY risk_label ORDER BY md5(parcel_id || '|' ||
+                      coalesce(strftime(actual_delivery, '%Y-%m-%d %H:%M:%S'), '-') || '|42')) - 1 AS group_rank,
+               count(*) OVER (PARTITION BY risk_label) AS group_size
+        FROM train)""",
+    "enc": """enc AS (
+        SELECT 'route_id' AS "column", v AS value, dense_rank() OVER (ORDER BY v) - 1 AS idx FROM (SELECT DISTINCT coalesce(route_id, 'unknown') AS v FROM planned)
+        UNION ALL SELECT 'weather_condition', v, dense_rank() OVER (ORDER BY v) - 1 FROM (SELECT DISTINCT coalesce(weather_condition, 'clear') AS v FROM planned)
+        UNION ALL SELECT 'client_id', v, dense_rank() OVER (ORDER BY v) - 1 FROM (SELECT DISTINCT coalesce(client_id, 'unknown') AS v FROM planned)
+        UNION ALL SELECT 'hub_id', v, dense_rank() OVER (ORDER BY v) - 1 FROM (SELECT DISTINCT coalesce(hub_id, 'unknown') AS v FROM planned))""",
+    "scored": f"""scored AS (
+        SELECT p.*, least(1.0::DOUBLE, base * factor * (1 + congestion_level * 0.5::DOUBLE)) AS score
+        FROM planned p
+        JOIN (VALUES {_values((r, v) for r, v in K.ROUTE_RISK.items())}) AS b(route, base0) ON b.route = p.route_id
+        JOIN (VALUES {_values((w, v) for w, v in K.WEATHER_FACTOR.items())}) AS f(weather, factor0) ON f.weather = p.weather_condition,
+        LATERAL (SELECT CAST(base0 AS DOUBLE) AS base, CAST(factor0 AS DOUBLE) AS factor))""",
+    "levels": """levels AS (
+        SELECT *, CASE WHEN score < 0.35::DOUBLE THEN 0 WHEN score < 0.65::DOUBLE THEN 1 ELSE 2 END AS level FROM scored)""",
+    "judged": """judged AS (
+        SELECT l.risk_label AS label, v.level AS prediction FROM labelled l JOIN levels v USING (parcel_id))""",
+})
 _NEEDS = {
     "mapped": ["hubs", "routes"], "timed": ["mapped", "weather"], "planned": ["timed"],
     "lines": ["timed"], "shifted": ["lines"], "ev": ["shifted"], "joined": ["ev", "planned"],
     "numbered": ["joined"], "mapped_last": ["joined"], "actual": ["ev"],
     "golden": ["numbered", "mapped_last", "actual"], "al": ["joined"],
+    "pairs": ["planned", "ev"], "labelled": ["pairs"], "train": ["labelled"], "ordered": ["train"],
+    "enc": ["planned"], "scored": ["planned"], "levels": ["scored"], "judged": ["labelled", "levels"],
 }
 
 
@@ -177,6 +213,47 @@ _DEAD = f"""SELECT 'delivery_events' AS topic,
     FROM ev WHERE NOT EXISTS (SELECT 1 FROM planned p WHERE p.parcel_id = ev.parcel_id)"""
 
 
+# Three decimals of a double, correctly rounded: the split product's error settles ties.
+_SCORE_3 = """(CASE WHEN p - floor(p) = 0.5 AND err > 0 THEN ceil(p) WHEN p - floor(p) = 0.5 AND err < 0 THEN floor(p)
+    ELSE round_even(p, 0) END) / 1000.0::DOUBLE"""
+
+_FEATURES = """SELECT parcel_id, r.idx AS route_enc, w.idx AS weather_enc, c.idx AS client_enc, h.idx AS hub_enc,
+    congestion_level, distance_km, weight_kg, hour(planned_pickup) AS hour_of_day,
+    isodow(planned_pickup) - 1 AS day_of_week, CASE WHEN isodow(planned_pickup) >= 6 THEN 1 ELSE 0 END AS is_weekend,
+    hours AS planned_duration_h, w.idx * congestion_level AS weather_congestion,
+    distance_km / CASE WHEN hours = 0 THEN 1 ELSE hours END AS distance_per_hour,
+    CAST(congestion_level > 0.7::DOUBLE AS INTEGER) AS high_congestion,
+    CAST(weather_condition IN ('snow', 'storm') AS INTEGER) AS severe_weather, CAST(weight_kg > 30 AS INTEGER) AS heavy_parcel,
+    CAST(weather_condition = 'rain' AS INTEGER) AS weather_rain, CAST(weather_condition = 'fog' AS INTEGER) AS weather_fog,
+    CAST(weather_condition = 'snow' AS INTEGER) AS weather_snow, CAST(weather_condition = 'storm' AS INTEGER) AS weather_storm,
+    congestion_level * congestion_level AS congestion_sq, risk AS weather_risk_score, risk * (1 + congestion_level) AS composite_risk
+    FROM (SELECT *, (epoch_us(planned_delivery) - epoch_us(planned_pickup)) / 60000000.0::DOUBLE / 60 AS hours,
+                 CASE weather_condition WHEN 'rain' THEN 0.3::DOUBLE WHEN 'fog' THEN 0.2::DOUBLE WHEN 'snow' THEN 0.8::DOUBLE
+                      WHEN 'storm' THEN 1.5::DOUBLE ELSE 0.0::DOUBLE END AS risk FROM planned) p
+    JOIN enc r ON r."column" = 'route_id' AND r.value = p.route_id
+    JOIN enc w ON w."column" = 'weather_condition' AND w.value = p.weather_condition
+    JOIN enc c ON c."column" = 'client_id' AND c.value = p.client_id
+    JOIN enc h ON h."column" = 'hub_id' AND h.value = p.hub_id"""
+
+_REPORT = """, per AS (
+    SELECT k.cls, k.name, count(*) FILTER (label = k.cls) AS support, count(*) FILTER (prediction = k.cls) AS predicted,
+           count(*) FILTER (label = k.cls AND prediction = k.cls) AS hits
+    FROM judged, (VALUES (0, 'low'), (1, 'medium'), (2, 'high')) AS k(cls, name) GROUP BY k.cls, k.name),
+rated AS (
+    SELECT *, CASE WHEN predicted > 0 THEN hits / predicted::DOUBLE ELSE 0 END AS p, CASE WHEN support > 0 THEN hits / support::DOUBLE ELSE 0 END AS r
+    FROM per WHERE support > 0 OR predicted > 0),
+done AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f FROM rated)
+SELECT name AS class, p AS precision, r AS recall, f AS f1, support::DOUBLE AS support FROM done
+UNION ALL SELECT 'accuracy', a, a, a, n FROM (SELECT sum(hits) / sum(support)::DOUBLE AS a, sum(support)::DOUBLE AS n FROM done)
+UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), sum(support)::DOUBLE FROM done
+UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support), sum(f * support) / sum(support),
+    sum(support)::DOUBLE FROM done"""
+
+_EVENT = "event_id, parcel_id, event_type, event_timestamp, hub_id, latitude, longitude"
+_TIMELINE = """SELECT date_trunc('hour', event_timestamp)::TIMESTAMP AS hour, event_type, count(*) AS count
+            FROM ev GROUP BY ALL"""
+
+
 def oracle_sql() -> dict[str, str]:
     g, j = "golden", "joined"
     return {
@@ -238,10 +315,60 @@ def oracle_sql() -> dict[str, str]:
             strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at FROM ({_ALERT_PAGE})"""),
         "event_journal": _q("ev", sql="""SELECT parcel_id, event_type, event_timestamp, hub_id, latitude, longitude FROM ev
             WHERE event_type = 'delivered' AND hub_id = 'HUB_LYON' ORDER BY event_timestamp DESC, parcel_id, event_type, hub_id LIMIT 50"""),
-        "event_timeline": _q("ev", sql="""SELECT date_trunc('hour', event_timestamp)::TIMESTAMP AS hour, event_type, count(*) AS count
-            FROM ev GROUP BY ALL"""),
+        "event_timeline": _q("ev", sql=_TIMELINE),
         "normalise_result": _q(g, sql="""SELECT parcel_id, client_id, hub_id, route_id, status, delay_minutes, risk_level,
             strftime(planned_delivery, '%Y-%m-%dT%H:%M:%S') AS planned_delivery,
             strftime(actual_delivery, '%Y-%m-%dT%H:%M:%S') AS actual_delivery FROM golden WHERE delay_minutes > 15
             ORDER BY delay_minutes DESC, parcel_id LIMIT 20"""),
+        # sources and sinks
+        "clean_columns": "SELECT * FROM customer",
+        "flatten_pages": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+        "seed_dimensions": f"""WITH stored AS (SELECT DISTINCT 'CLIENT_' || c_mktsegment[1] AS client_id, c_mktsegment AS client_name,
+                24.0::DOUBLE AS sla_hours, 1 AS priority FROM customer),
+            seed AS (SELECT column0 AS client_id, column1 AS client_name, column2::DOUBLE AS sla_hours, column3 AS priority
+                FROM (VALUES {_values(K.CLIENT_SEED)}) AS t(column0, column1, column2, column3))
+            SELECT * FROM stored UNION ALL SELECT * FROM seed WHERE client_id NOT IN (SELECT client_id FROM stored)""",
+        "publish_events": _q("ev", sql=f"SELECT {_EVENT} FROM ev"),
+        "canonical_events": _q("ev", sql="SELECT * REPLACE (strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') AS event_timestamp) FROM ev"),
+        "upsert_planned": _q(g, sql="""SELECT t.parcel_id, coalesce(g.client_id, t.client_id) AS client_id, coalesce(g.route_id, t.route_id) AS route_id,
+            coalesce(g.hub_id, t.hub_id) AS hub_id, 'planned' AS status, t.planned_pickup + INTERVAL 30 MINUTE AS planned_pickup, g.actual_pickup,
+            t.planned_pickup + to_minutes(t.dur + 30) AS planned_delivery, g.actual_delivery, coalesce(g.delay_minutes, 0) AS delay_minutes,
+            coalesce(g.risk_level, 'low') AS risk_level, coalesce(g.risk_probability, 0) AS risk_probability, 'fog' AS weather_condition,
+            t.c / 100.0::DOUBLE AS congestion_level FROM timed t LEFT JOIN golden g ON g.parcel_id = t.parcel_id"""),
+        "parse_payloads": """SELECT event_id, event_type, k, '{"event_id":' || event_id || ',"event_type":"' || event_type || '","k":' || k || '}' AS payload
+            FROM (SELECT event_id, event_type, coalesce(CAST(json_extract(props, '$.k') AS BIGINT), 0) AS k FROM events)""",
+        "parse_latlon": """SELECT event_id, event_type, CASE WHEN event_type NOT IN ('view', 'click') THEN value END AS origin_lat,
+            CASE WHEN event_type NOT IN ('view', 'click') THEN user_id::DOUBLE END AS origin_lon FROM events""",
+        # text
+        "strip_think": "SELECT conv_id, turn, nullif(trim(text, E' \\t\\r\\n'), '') AS reply FROM conversations",
+        "chat_context": """SELECT conv_id, count(*) AS messages, string_agg(role || ': ' || text, chr(10) ORDER BY turn, text) AS context
+            FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) AS nth FROM conversations)
+            WHERE nth <= 6 GROUP BY conv_id""",
+        # features and model inputs
+        "heuristic_risk": _q("levels", sql=f"""SELECT parcel_id, route_id, weather_condition, congestion_level,
+            ['low', 'medium', 'high'][level + 1] AS risk_level, {_SCORE_3} AS risk_score, 'heuristic' AS source
+            FROM (SELECT *, (hi * 1000 - p) + (score - hi) * 1000 AS err
+                  FROM (SELECT *, score * 1000 AS p, score * 134217729 - (score * 134217729 - score) AS hi FROM levels))"""),
+        "route_profile": _q("planned", sql="""SELECT p.parcel_id, p.route_id, r.distance_km::DOUBLE AS distance_km, r.avg_duration_h::DOUBLE AS duration_h
+            FROM planned p JOIN routes r USING (route_id)"""),
+        "training_set": _q("train", sql="SELECT parcel_id, actual_pickup, actual_delivery, delay_minutes, risk_label, copies FROM train"),
+        "label_encode": _q("enc", sql="SELECT * FROM enc"),
+        "label_distribution": _q("labelled", sql="SELECT risk_label, count(*) AS count FROM labelled GROUP BY risk_label"),
+        "class_weights": _q("labelled", sql="""SELECT risk_label, count(*) AS count,
+            (SELECT count(*) FROM labelled) / ((SELECT count(DISTINCT risk_label) FROM labelled) * count(*))::DOUBLE AS weight
+            FROM labelled GROUP BY risk_label"""),
+        "features": _q("enc", sql=_FEATURES),
+        "stratified_split": _q("ordered", sql="""SELECT parcel_id, actual_delivery, risk_label, group_rank,
+            group_rank < round(group_size * 0.2::DOUBLE) AS is_test FROM ordered"""),
+        "stratified_folds": _q("ordered", sql="""SELECT parcel_id, actual_delivery, risk_label, CAST(group_rank % 5 AS INTEGER) AS fold FROM ordered"""),
+        "classification_report": _q("judged", sql=_REPORT),
+        # streams: the same results as the batch side
+        "stream_ingest": _q("ev", "planned", sql="""SELECT 'planned_shipments' AS topic, parcel_id, NULL AS event_id, NULL AS event_type,
+            NULL AS event_timestamp, planned_pickup, planned_delivery, NULL AS problem FROM planned
+            UNION ALL SELECT 'delivery_events', parcel_id, event_id, event_type, event_timestamp, NULL, NULL, NULL FROM ev"""),
+        "stream_timeline": _q("ev", sql=_TIMELINE),
+        "stream_golden_record": _q(g, sql=f"SELECT {_STATE_COLUMNS} FROM golden"),
+        "stream_alerts": _q("al", sql="SELECT * FROM al"),
+        "stream_dead_letters": _q("ev", "planned", sql=_DEAD),
+        "stream_kpi": _q(g, sql=_KPI),
     }
