@@ -42,10 +42,7 @@ def upsert_planned(state: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def insert_if_absent(existing: DataFrame, seed: DataFrame, key: str) -> DataFrame:
-    """``existing`` plus the seed rows whose key it does not have.
-
-    The seed is one of the fixed dimension lists, so its keys are broadcast to reduce the
-    existing table to the few keys that matter before the anti join.
-    """
-    taken = existing.join(F.broadcast(seed.select(key)), key, "left_semi").select(key).distinct()
+    """``existing`` plus the seed rows whose key it does not have. A seed is a small list: the
+    semi join reduces the existing table to the few keys that matter before the anti join."""
+    taken = existing.join(seed.select(key), key, "left_semi").select(key).distinct()
     return existing.unionByName(seed.join(taken, key, "left_anti"))

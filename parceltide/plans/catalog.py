@@ -216,15 +216,14 @@ def _store_queries() -> dict[str, Query]:
 
 
 def _heuristic_predictions(s: Store) -> DataFrame:
-    """Heuristic level of every training row next to its label."""
-    level = scoring.heuristic_risk(s.plan).select(
-        "parcel_id",
-        (F.array_position(F.array(*[F.lit(c) for c in K.RISK_CLASSES]), F.col("risk_level")) - 1)
-        .alias("prediction"),
+    """Label of every training row next to the heuristic level of its plan."""
+    rows = scoring.heuristic_risk(
+        features.training_set(s.plan, _events(s)), keep=("parcel_id", "risk_label", "copies"))
+    classes = F.array(*[F.lit(c) for c in K.RISK_CLASSES])
+    return rows.select(
+        F.col("risk_label").alias("label"),
+        (F.array_position(classes, F.col("risk_level")) - 1).alias("prediction"), "copies",
     )
-    return features.training_set(s.plan, _events(s)).select(
-        "parcel_id", F.col("risk_label").alias("label"), "copies"
-    ).join(level, "parcel_id")
 
 
 def scan_planned(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a busy parcel even if a later step has to shuffle the rows again.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -37,19 +39,29 @@ def apply_session_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+_local_roots: dict[str, str] = {}
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster the executors
-    could not see the driver's disk, so a missing setting is an error there.
+    Only a local session may do without: on a cluster the executors could not see a temporary
+    folder of the driver, so a missing setting is an error there.
     """
-    root = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="parceltide-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    root = spark.conf.get(_CHECKPOINT_KEY, None) or context.getConf().get(_CHECKPOINT_KEY)
+    if root:
+        return root.rstrip("/")
+    if not context.master.startswith("local"):
+        raise ValueError(f"set {_CHECKPOINT_KEY} to a folder every executor can reach")
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="parceltide-")
+    return _local_roots[context.applicationId]
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below the shared one."""
+    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

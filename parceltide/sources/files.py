@@ -97,9 +97,13 @@ def scan_planned(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_events(spark: SparkSession, path: str) -> DataFrame:
-    """Event rows of CSV files in replay order."""
+    """Event rows of CSV files in replay order.
+
+    The order among copies of one event means nothing; the random last key lets the range
+    partitioning spread them when there are very many.
+    """
     events = accepted(parse_events(read_csv_text(spark, path)))
-    return events.orderBy("event_timestamp", "event_id")
+    return events.orderBy("event_timestamp", "event_id", F.rand(11))
 
 
 def scan_training(spark: SparkSession, planned_path: str, events_path: str) -> tuple[DataFrame, DataFrame]:

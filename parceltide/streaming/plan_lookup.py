@@ -77,7 +77,8 @@ class PlanLookup(StatefulProcessor):
                 [None if plan is None else plan[i] for plan in found], dtype="object"
             )
         # The copies of a plan row in the other shards are for their state only.
-        yield out[(batch["_event"] | (batch["shard"] == 0)).to_numpy()]
+        copy = ~batch["_event"] & batch["usable"] & (batch["shard"] > 0)
+        yield out[~copy.to_numpy()]
 
     def close(self) -> None:
         pass
