@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from parceltide import schemas
 from parceltide.operators import correlate, golden
 from parceltide.sources import seeds
 
@@ -29,7 +30,8 @@ class Store:
 
     @property
     def events(self) -> DataFrame:
-        return self.table("delivery_events_log")
+        # With its schema, so that a log without any event reads as an empty table.
+        return self.spark.read.schema(schemas.EVENT_LOG).parquet(f"{self.path}/delivery_events_log")
 
     @property
     def state(self) -> DataFrame:

@@ -20,6 +20,8 @@ EVENTS = _struct(
     hub_id=_STR, latitude=_DBL, longitude=_DBL,
 )
 
+EVENT_LOG = T.StructType([*EVENTS.fields, T.StructField("ingested_at", T.TimestampType())])
+
 PARCEL_STATE = _struct(
     parcel_id=_STR, client_id=_STR, route_id=_STR, hub_id=_STR, status=_STR,
     planned_pickup=_NTZ, actual_pickup=_NTZ, planned_delivery=_NTZ, actual_delivery=_NTZ,

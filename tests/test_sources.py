@@ -1,0 +1,176 @@
+"""File and topic sources with the rows nobody wants: blank ids, bad numbers, bad times."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from parceltide import constants as K, schemas
+from parceltide.operators import golden
+from parceltide.plans.store import build_store, write_event_log
+from parceltide.session import shared_dir, shared_root
+from parceltide.sources import files, testdata, topics
+from parceltide.operators.upsert import insert_if_absent
+from parceltide.sources import seeds
+
+
+def write(folder, name, *lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+PLAN_HEADER = ("parcel_id, client_id ,route_id,hub_id,dest_hub_id,planned_pickup,planned_delivery,"
+               "weather_condition,congestion_level,distance_km,weight_kg")
+
+
+def test_plan_csv(spark, folder):
+    write(folder, "a.csv", PLAN_HEADER,
+          " A1 ,C,R,H,D,2024-01-08T08:30:00,2024-01-08T12:00:00.5,,0.5,,x",
+          "   ,C,R,H,D,2024-01-08T08:30:00,2024-01-08T12:00:00,rain,0.5,1,2",
+          "A2,,R,H,D,,2024-01-08T12:00:00,rain,0.5,1,2",
+          'A3,"C, quoted ""x""",R,H,D,2024-01-08 08:30:00,2024-01-08T12:00:00Z,rain,1e-1,1,2')
+    parsed = files.parse_planned(files.read_csv_text(spark, folder))
+    rows = {r["parcel_id"]: r for r in files.scan_planned(spark, folder).collect()}
+    assert set(rows) == {"A1", "A3"}
+    assert rows["A1"]["weather_condition"] == "" and rows["A1"]["distance_km"] == 0.0
+    assert rows["A1"]["weight_kg"] == 0.0 and rows["A3"]["client_id"] == 'C, quoted "x"'
+    assert rows["A3"]["congestion_level"] == 0.1
+    reasons = {r["parcel_id"]: r[files.REJECT] for r in files.rejected(parsed).collect()}
+    assert reasons == {"": "blank_parcel_id", "A2": "bad_timestamp"}
+    assert [r[0] for r in parsed.filter("bad_number").select("parcel_id").collect()] == ["A1"]
+
+
+def test_plan_csv_without_weather_column(spark, folder):
+    write(folder, "a.csv", "planned_delivery,parcel_id,planned_pickup",
+          "2024-01-08T12:00:00,A1,2024-01-08T08:30:00")
+    row = files.scan_planned(spark, folder).first()
+    assert row["weather_condition"] == "clear" and row["client_id"] == ""
+    assert row["congestion_level"] == 0.0
+
+
+def test_resent_plan_rows_fold_in_file_order(spark, folder):
+    line = "A1,{c},R,H,D,2024-01-0{d}T08:30:00,2024-01-0{d}T12:00:00,rain,0.5,1,2"
+    write(folder, "a.csv", PLAN_HEADER, line.format(c="first", d=3), line.format(c="second", d=1),
+          line.format(c="third", d=2))
+    row = golden.fold_plan(files.scan_planned(spark, folder), ("arrival",)).first()
+    assert row["client_id"] == "first" and row["planned_pickup"].day == 2
+
+
+def test_event_csv_is_sorted_and_skips_bad_times(spark, folder):
+    write(folder, "e.csv", "parcel_id,event_type,event_timestamp,hub_id,latitude,longitude",
+          "A,pickup,2024-01-08T10:00:00,H,1.5,", "A,accepted,2024-01-08 09:00:00,,x,2",
+          "A,delivered,2024-01-08T11:00:00Z,H,1,2", "A,scan,soon,H,1,2")
+    rows = files.scan_events(spark, folder).collect()
+    assert [r["event_type"] for r in rows] == ["accepted", "pickup"]
+    assert rows[0]["hub_id"] == "" and rows[0]["latitude"] == 0.0 and rows[1]["longitude"] == 0.0
+    assert rows[1]["event_id"] == "EV-A-PIC-1704708000000"
+    assert rows[0]["event_timestamp_text"] == "2024-01-08 09:00:00"
+
+
+def test_training_files_keep_rows_with_bad_times(spark, folder):
+    write(f"{folder}/p", "p.csv", PLAN_HEADER, "A1,C,R,H,D,never,2024-01-08T12:00:00,,0.5,x,2")
+    write(f"{folder}/e", "e.csv", "parcel_id,event_type,event_timestamp", "A1,delivered,?")
+    plan, events = files.scan_training(spark, f"{folder}/p", f"{folder}/e")
+    row = plan.first()
+    assert row["planned_pickup"] is None and row["distance_km"] is None
+    assert row["weather_condition"] is None and events.first()["event_timestamp"] is None
+
+
+def test_pages_are_flattened_and_capped(spark, folder):
+    write(folder, "1.json", '{"rows":[{"row":{"a":1}},{"row":{"a":2}}],"num_rows_total":9}')
+    write(folder, "2.json", '{"rows":[{"row":{"a":3}}]}')
+    write(folder, "3.json", '{"rows":[]}')
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    assert sorted(r[0] for r in files.flatten_pages(spark, folder, schema).collect()) == [1, 2, 3]
+    assert files.flatten_pages(spark, folder, schema, n_rows=2).count() == 2
+
+
+def test_csv_round_trip(spark, folder, sf_dir):
+    planned = testdata.planned_shipments(spark, sf_dir)
+    planned.write.option("header", True).csv(f"{folder}/out")
+    back = files.scan_planned(spark, f"{folder}/out").drop("arrival")
+    assert back.exceptAll(planned).isEmpty() and planned.exceptAll(back).isEmpty()
+
+
+def test_messages_round_trip(spark, folder, sf_dir):
+    events = testdata.delivery_events(spark, sf_dir)
+    topics.publish_files(topics.encode_events(events), f"{folder}/t")
+    topics.publish_files(
+        topics.encode_planned(testdata.planned_shipments(spark, sf_dir)), f"{folder}/t")
+    messages = topics.read_file_topic(spark, f"{folder}/t")
+    decoded = topics.decode_messages(messages)
+    assert decoded.filter("problem is not null").isEmpty()
+    assert messages.filter(F.col("topic") == K.PLAN_TOPIC).agg(F.max("at_us")).first()[0] < 0
+    back = topics.decode_events(messages)
+    assert back.exceptAll(events.select(*back.columns)).isEmpty()
+
+
+def test_kafka_needs_its_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        topics.kafka_messages(spark, "localhost:9092", 1000)
+
+
+def test_insert_if_absent_keeps_existing(spark):
+    existing = spark.createDataFrame([("CLIENT_A", "mine", 1.0, 9)], schemas.CLIENTS)
+    rows = {r["client_id"]: r["client_name"]
+            for r in insert_if_absent(existing, seeds.clients(spark), "client_id").collect()}
+    assert len(rows) == 5 and rows["CLIENT_A"] == "mine"
+
+
+def test_event_log_appends_by_day(spark, folder, sf_dir):
+    events = testdata.delivery_events(spark, sf_dir).filter("event_timestamp < '1996-02-01'")
+    for _ in range(2):
+        write_event_log(events, f"{folder}/log")
+    log = spark.read.parquet(f"{folder}/log")
+    assert log.count() == 2 * events.count() and "ingested_at" in log.columns
+    assert log.filter("event_day <> to_date(event_timestamp)").isEmpty()
+
+
+def test_store_of_nothing(spark, folder, sf_dir):
+    planned = testdata.planned_shipments(spark, sf_dir).limit(0)
+    events = testdata.delivery_events(spark, sf_dir).limit(0)
+    store = build_store(spark, f"{folder}/store", planned, events, ("planned_pickup",))
+    for table in (store.plan, store.events, store.state, store.alerts, store.errors):
+        assert table.isEmpty()
+
+
+def test_shared_folder(spark, monkeypatch):
+    assert shared_dir(spark, "x") != shared_dir(spark, "x")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert shared_root(spark) == named.rstrip("/")
+
+
+def test_cluster_without_shared_folder_is_refused():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Session())
+    Context.master = "local[2]"
+    assert shared_root(Session()) == shared_root(Session())
+
+
+def test_store_invariants(spark, folder, sf_dir):
+    planned = testdata.planned_shipments(spark, sf_dir)
+    events = testdata.delivery_events(spark, sf_dir)
+    store = build_store(spark, f"{folder}/store", planned, events, ("planned_pickup",), "year")
+    state = store.state
+    assert state.count() == planned.count() == state.select("parcel_id").distinct().count()
+    assert store.events.count() == events.count()
+    assert "updated_at" in state.columns
+    late = state.filter("delay_minutes > 15").count()
+    assert late + state.filter("delay_minutes <= 15").count() == state.count()
+    unknown = events.join(planned, "parcel_id", "left_anti").count()
+    assert store.errors.count() == unknown > 0
