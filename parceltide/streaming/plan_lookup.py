@@ -1,15 +1,12 @@
-"""The one stateful operator: give every event the plan that was in force when it arrived.
+"""The one stateful operator: the plan each parcel of a micro-batch had before the batch.
 
-Delay, alerts and the golden record all follow from that by column expressions, so the Python
-side only remembers plans. Two decisions keep it fast and level:
+Delay, alerts and the golden record follow from an event's plan by joins and column expressions,
+so the Python side only remembers plans; the events themselves never pass through it. It gets the
+plan rows and, for every parcel with events, a *probe*. Probes are reduced to distinct parcels
+before the shuffle, so a parcel that owns a third of the stream costs a few rows here.
 
-* State is a map per *bucket* of parcels, not one entry per parcel, so one call handles many
-  parcels.
-* A parcel's events are dealt over ``shards`` buckets and its plan is sent to each of them. A
-  parcel that owns a third of the stream is then spread over that many tasks. This is exact
-  because an event depends on its plan and never on the parcel's other events.
-
-Within a call the rows are those of one bucket in one micro-batch, whose size the source limits
+State is a map per bucket of parcels, so that one call serves many of them. A call holds the
+distinct parcels of its bucket in one micro-batch, whose size the source limits
 (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
 """
 
@@ -28,84 +25,66 @@ from parceltide import constants as K
 # The processor travels to the Python workers by value: they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_PLAN_TOPIC = K.PLAN_TOPIC
-_PLAN_FIELDS = ["client_id", "route_id", "planned_pickup", "planned_delivery"]
-_PASSED = ["topic", "value", "at_us", "at_seq"]
 # Times travel as text: pandas could not hold every timestamp Spark can.
-_STATE_SCHEMA = "client_id string, route_id string, planned_pickup string, planned_delivery string"
-OUTPUT_SCHEMA = (
-    "topic string, value string, at_us bigint, at_seq string, known boolean, "
-    "plan_client_id string, plan_route_id string, "
-    "plan_planned_pickup string, plan_planned_delivery string"
+_PLAN = ["client_id", "route_id", "planned_pickup", "planned_delivery"]
+_PLAN_SCHEMA = ", ".join(f"{name} string" for name in _PLAN)
+OUTPUT_SCHEMA = f"parcel_id string, {_PLAN_SCHEMA}"
+_PROBE_SCHEMA = (
+    f"bucket int, parcel_id string, is_plan boolean, at_us bigint, at_seq string, {_PLAN_SCHEMA}"
 )
 
 
 class PlanLookup(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._plans = handle.getMapState("plans", "parcel_id string", _STATE_SCHEMA)
+        self._plans = handle.getMapState("plans", "parcel_id string", _PLAN_SCHEMA)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        # Plans sort before events that carry the same arrival key.
-        batch["_event"] = batch["topic"] != _PLAN_TOPIC
-        batch = batch.sort_values(["at_us", "at_seq", "_event"], kind="stable")
-        in_force: dict[str, tuple | None] = {}
-        changed: set[str] = set()
-        found: list[tuple | None] = []
-        for parcel, is_event, usable, *fields in batch[
-            ["parcel_id", "_event", "usable", *_PLAN_FIELDS]
-        ].itertuples(index=False, name=None):
-            if not usable:
-                found.append(None)
-                continue
-            if parcel not in in_force:
-                in_force[parcel] = self._plans.getValue((parcel,))
-            plan = in_force[parcel]
-            if not is_event:
+        parcels: set[str] = set()
+        first: dict[str, tuple] = {}
+        last: dict[str, tuple] = {}
+        for chunk in rows:
+            parcels.update(chunk["parcel_id"])
+            plans = chunk.loc[chunk["is_plan"], ["parcel_id", "at_us", "at_seq", *_PLAN]]
+            for parcel, at_us, at_seq, *plan in plans.itertuples(index=False, name=None):
+                # Plan rows of the same arrival are ordered by their times.
+                order = (at_us, at_seq, plan[2] or "", plan[3] or "")
+                if parcel not in first or order < first[parcel][0]:
+                    first[parcel] = (order, plan)
+                if parcel not in last or order >= last[parcel][0]:
+                    last[parcel] = (order, plan)
+        before = []
+        for parcel in parcels:
+            known = self._plans.getValue((parcel,))
+            if known is not None:
+                before.append((parcel, *known))
+            if parcel in last:
                 # Client and route stay as first planned; the times are the latest.
-                plan = tuple(fields) if plan is None else (plan[0], plan[1], fields[2], fields[3])
-                in_force[parcel] = plan
-                changed.add(parcel)
-            found.append(plan)
-        for parcel in changed:
-            self._plans.updateValue((parcel,), in_force[parcel])
-
-        out = batch[_PASSED].reset_index(drop=True)
-        out["known"] = [plan is not None for plan in found]
-        for i, name in enumerate(_PLAN_FIELDS):
-            out[f"plan_{name}"] = pd.Series(
-                [None if plan is None else plan[i] for plan in found], dtype="object"
-            )
-        # The copies of a plan row in the other shards are for their state only.
-        copy = ~batch["_event"] & batch["usable"] & (batch["shard"] > 0)
-        yield out[~copy.to_numpy()]
+                client, route = (known or first[parcel][1])[:2]
+                self._plans.updateValue((parcel,), (client, route, *last[parcel][1][2:]))
+        yield pd.DataFrame(before, columns=["parcel_id", *_PLAN], dtype="object")
 
     def close(self) -> None:
         pass
 
 
-def attach_plans(decoded: DataFrame, shards: int = 4, buckets: int = 256) -> DataFrame:
-    """Messages with the plan in force. ``shards`` and ``buckets`` place the state, so they must
-    stay the same for the life of a checkpoint."""
-    is_plan, usable = F.col("topic") == K.PLAN_TOPIC, F.col("problem").isNull()
-    # Dealt at random, so that copies of one message spread as well. Which shard an event meets
-    # its plan in does not matter to the result.
-    dealt = decoded.withColumns({
-        "_shard": F.floor(F.rand(17) * shards).cast("int"),
-        "_bucket": F.floor(F.rand(23) * buckets).cast("int"),
-    })
-    to_shards = F.when(is_plan & usable, F.sequence(F.lit(0), F.lit(shards - 1)))
-    placed = dealt.withColumn(
-        "shard", F.explode(F.coalesce(to_shards, F.array(F.col("_shard"))))
-    )
-    # Unusable messages have no plan to meet.
-    own = F.pmod(F.xxhash64("parcel_id", "shard"), F.lit(buckets)).cast("int")
-    bucket = F.when(usable, own).otherwise(F.col("_bucket"))
-    slim = placed.select(
-        bucket.alias("bucket"), "shard",
-        *_PASSED, "parcel_id", usable.alias("usable"), "client_id", "route_id",
+def _distinct_rows(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for chunk in chunks:
+        yield chunk.drop_duplicates()
+
+
+def plans_before(decoded: DataFrame, buckets: int = 256) -> DataFrame:
+    """For every parcel of the micro-batch that was planned earlier, its plan so far. ``buckets``
+    places the state, so it must stay the same for the life of a checkpoint."""
+    is_plan = F.col("topic") == K.PLAN_TOPIC
+    probes = decoded.filter(F.col("problem").isNull()).select(
+        F.pmod(F.xxhash64("parcel_id"), F.lit(buckets)).cast("int").alias("bucket"),
+        "parcel_id", is_plan.alias("is_plan"),
+        # An event asks for its parcel only; nothing else may keep two probes apart.
+        *[F.when(is_plan, F.col(c)).alias(c) for c in ("at_us", "at_seq", "client_id", "route_id")],
         *[F.col(c).cast("string").alias(c) for c in ("planned_pickup", "planned_delivery")],
     )
-    return slim.groupBy("bucket").transformWithStateInPandas(
-        PlanLookup(), OUTPUT_SCHEMA, "Append", "None"
+    return (
+        probes.mapInPandas(_distinct_rows, _PROBE_SCHEMA)
+        .groupBy("bucket")
+        .transformWithStateInPandas(PlanLookup(), OUTPUT_SCHEMA, "Append", "None")
     )

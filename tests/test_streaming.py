@@ -61,7 +61,7 @@ def encoded(messages):
 
 def run_tower(spark, source, out, **options):
     stream = topics.stream_file_topic(spark, source, 1)
-    tower.start_tower(stream, out, shards=2, buckets=8, **options).awaitTermination()
+    tower.start_tower(stream, out, buckets=8, **options).awaitTermination()
     return tower.TowerTables(spark, out)
 
 
@@ -113,7 +113,7 @@ def test_repeating_a_batch_changes_nothing(spark, folder):
     messages = interleaved(6)[:60]
     publish(spark, encoded(messages), f"{folder}/in")
     tables = run_tower(spark, f"{folder}/in", f"{folder}/out")
-    written = spark.read.parquet(f"{folder}/out/correlated").drop("batch_id")
+    written = spark.read.parquet(f"{folder}/out/incoming").drop("batch_id")
     repeated = spark.createDataFrame(written.collect(), written.schema)
     tower.write_batch(tables, repeated, 0)
     check(tables, messages)
