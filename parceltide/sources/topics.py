@@ -139,7 +139,9 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         return F.col(f"{side}._corrupt").isNotNull() | F.col(side).isNull()
 
     def given(name: str, default: Column | str | float) -> Column:
-        return F.when(parse.has_key(value, name), F.col(f"p.{name}")).otherwise(default)
+        field = F.col(f"p.{name}")
+        # The keys are only looked up for absent or null fields.
+        return F.when(field.isNotNull() | parse.has_key(value, name), field).otherwise(default)
 
     parcel = F.when(is_plan, F.col("p.parcel_id")).otherwise(F.col("e.parcel_id"))
     missing = parcel.isNull() | (
@@ -154,7 +156,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         .when(missing, "missing_field").when(bad_time, "bad_timestamp").alias("problem"),
         parcel.alias("parcel_id"),
         F.when(is_plan, F.col("p.hub_id")).otherwise(F.col("e.hub_id")).alias("hub_id"),
-        (is_plan | parse.has_key(value, "hub_id")).alias("has_hub"),
+        (is_plan | F.col("e.hub_id").isNotNull() | parse.has_key(value, "hub_id")).alias("has_hub"),
         "p.client_id", "p.route_id",
         F.when(is_plan, given("weather_condition", K.DEFAULT_WEATHER)).alias("weather_condition"),
         F.when(is_plan, given("congestion_level", F.lit(0.0))).alias("congestion_level"),
