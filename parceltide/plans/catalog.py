@@ -24,7 +24,6 @@ from parceltide.streaming import timeline, tower
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FILES_PER_BATCH = 6
 _EVENT_COLUMNS = ("event_id", "parcel_id", "event_type", "event_timestamp", "hub_id",
                   "latitude", "longitude")
 # Rounds of the registered model queries; a real training run takes the default settings.
@@ -98,7 +97,9 @@ def _topic_landing(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.stream_file_topic(spark, _topic_landing(spark, sf_dir), FILES_PER_BATCH)
+    # A file per core and micro-batch keeps a batch in proportion to the cluster.
+    cores = spark.sparkContext.defaultParallelism
+    return topics.stream_file_topic(spark, _topic_landing(spark, sf_dir), cores)
 
 
 def _tower(spark: SparkSession, sf_dir: str) -> tower.TowerTables:

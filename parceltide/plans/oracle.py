@@ -133,10 +133,10 @@ _CTE.update({
                count(*) OVER (PARTITION BY risk_label) AS group_size
         FROM train)""",
     "enc": """enc AS (
-        SELECT 'route_id' AS "column", v AS value, dense_rank() OVER (ORDER BY v) - 1 AS idx FROM (SELECT DISTINCT coalesce(route_id, 'unknown') AS v FROM planned)
-        UNION ALL SELECT 'weather_condition', v, dense_rank() OVER (ORDER BY v) - 1 FROM (SELECT DISTINCT coalesce(weather_condition, 'clear') AS v FROM planned)
-        UNION ALL SELECT 'client_id', v, dense_rank() OVER (ORDER BY v) - 1 FROM (SELECT DISTINCT coalesce(client_id, 'unknown') AS v FROM planned)
-        UNION ALL SELECT 'hub_id', v, dense_rank() OVER (ORDER BY v) - 1 FROM (SELECT DISTINCT coalesce(hub_id, 'unknown') AS v FROM planned))""",
+        SELECT 'route_id' AS "column", v AS value, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT coalesce(route_id, 'unknown') AS v FROM planned)
+        UNION ALL SELECT 'weather_condition', v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) FROM (SELECT DISTINCT coalesce(weather_condition, 'clear') AS v FROM planned)
+        UNION ALL SELECT 'client_id', v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) FROM (SELECT DISTINCT coalesce(client_id, 'unknown') AS v FROM planned)
+        UNION ALL SELECT 'hub_id', v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) FROM (SELECT DISTINCT coalesce(hub_id, 'unknown') AS v FROM planned))""",
     "scored": f"""scored AS (
         SELECT p.*, least(1.0::DOUBLE, base * factor * (1 + congestion_level * 0.5::DOUBLE)) AS score
         FROM planned p
@@ -218,8 +218,8 @@ _SCORE_3 = """(CASE WHEN p - floor(p) = 0.5 AND err > 0 THEN ceil(p) WHEN p - fl
     ELSE round_even(p, 0) END) / 1000.0::DOUBLE"""
 
 _FEATURES = """SELECT parcel_id, r.idx AS route_enc, w.idx AS weather_enc, c.idx AS client_enc, h.idx AS hub_enc,
-    congestion_level, distance_km, weight_kg, hour(planned_pickup) AS hour_of_day,
-    isodow(planned_pickup) - 1 AS day_of_week, CASE WHEN isodow(planned_pickup) >= 6 THEN 1 ELSE 0 END AS is_weekend,
+    congestion_level, distance_km, weight_kg, CAST(hour(planned_pickup) AS INTEGER) AS hour_of_day,
+    CAST(isodow(planned_pickup) - 1 AS INTEGER) AS day_of_week, CASE WHEN isodow(planned_pickup) >= 6 THEN 1 ELSE 0 END AS is_weekend,
     hours AS planned_duration_h, w.idx * congestion_level AS weather_congestion,
     distance_km / CASE WHEN hours = 0 THEN 1 ELSE hours END AS distance_per_hour,
     CAST(congestion_level > 0.7::DOUBLE AS INTEGER) AS high_congestion,
@@ -364,7 +364,7 @@ def oracle_sql() -> dict[str, str]:
         "classification_report": _q("judged", sql=_REPORT),
         # streams: the same results as the batch side
         "stream_ingest": _q("ev", "planned", sql="""SELECT 'planned_shipments' AS topic, parcel_id, NULL AS event_id, NULL AS event_type,
-            NULL AS event_timestamp, planned_pickup, planned_delivery, NULL AS problem FROM planned
+            NULL AS event_timestamp, planned_pickup, planned_delivery, CAST(NULL AS VARCHAR) AS problem FROM planned
             UNION ALL SELECT 'delivery_events', parcel_id, event_id, event_type, event_timestamp, NULL, NULL, NULL FROM ev"""),
         "stream_timeline": _q("ev", sql=_TIMELINE),
         "stream_golden_record": _q(g, sql=f"SELECT {_STATE_COLUMNS} FROM golden"),

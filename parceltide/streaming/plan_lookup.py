@@ -72,7 +72,7 @@ def _distinct_rows(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield chunk.drop_duplicates()
 
 
-def plans_before(decoded: DataFrame, buckets: int = 256) -> DataFrame:
+def plans_before(decoded: DataFrame, buckets: int) -> DataFrame:
     """For every parcel of the micro-batch that was planned earlier, its plan so far. ``buckets``
     places the state, so it must stay the same for the life of a checkpoint."""
     is_plan = F.col("topic") == K.PLAN_TOPIC

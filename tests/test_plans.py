@@ -5,9 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from parceltide.functions import derive
 from parceltide.operators import correlate, features, golden, ordinal, store_queries as Q
 from parceltide.plans import catalog
 from parceltide.sources import seeds
+from parceltide.streaming import tower
 
 
 def planned(df) -> str:
@@ -67,10 +69,24 @@ def skew_conf(conf):
     )
 
 
-@pytest.mark.parametrize("name", ["correlate", "alerts", "dead_letters", "training"])
-def test_busy_parcel_is_split(spark, skewed, skew_conf, name):
+def stream_rows(events, plan, path):
+    """The event side and the plan versions as a micro-batch writes them."""
+    rows = events.select(
+        F.lit("delivery_events").alias("topic"), F.lit(None).cast("string").alias("problem"),
+        "parcel_id", "event_id", F.col("event_timestamp").cast("string").alias("value"),
+        derive.micros(F.col("event_timestamp")).alias("at_us"), F.col("event_id").alias("at_seq"),
+    )
+    before = plan.select("parcel_id", "client_id", "route_id", "planned_pickup", "planned_delivery")
+    none = before.limit(0).withColumns({"at_us": F.lit(0).cast("bigint"), "at_seq": F.lit("")})
+    tower.plan_versions(before, none).write.mode("overwrite").parquet(path)
+    return rows, plan.sparkSession.read.parquet(path)
+
+
+@pytest.mark.parametrize("name", ["correlate", "alerts", "dead_letters", "training", "stream"])
+def test_busy_parcel_is_split(spark, skewed, skew_conf, folder, name):
     events, plan = skewed
     df = {
+        "stream": lambda: tower.plan_in_force(*stream_rows(events, plan, f"{folder}/versions")),
         "correlate": lambda: correlate.correlate_events(events, plan),
         "alerts": lambda: correlate.alerts(events, plan),
         "dead_letters": lambda: correlate.dead_letters(events, plan),
@@ -79,7 +95,7 @@ def test_busy_parcel_is_split(spark, skewed, skew_conf, name):
     rows = df.collect()
     assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
     expected = {
-        "correlate": 120_000,
+        "correlate": 120_000, "stream": 120_000,
         "dead_letters": events.filter("parcel_id = 'P7'").count(),
     }
     if name in expected:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 import simulate
@@ -92,6 +93,8 @@ def test_interleaved_topics_over_several_batches_and_a_restart(spark, folder):
     # The stream stops and starts again from its checkpoint; bad messages arrive as well.
     bad = [(10_000 + n, topic, value) for n, (topic, value, _) in enumerate(BAD)]
     publish(spark, rows[cuts[2]:] + bad, source)
+    with pytest.raises(ValueError, match="8 buckets"):
+        tower.start_tower(topics.stream_file_topic(spark, source, 1), out, buckets=9)
     tables = run_tower(spark, source, out, refresh_kpi=True)
     check(tables, messages, bad=len(BAD))
     reasons = Counter(r[0] for r in tables.errors.select("error_reason").collect())
