@@ -20,6 +20,7 @@ EVENT_TOPIC = "delivery_events"
 ALERT_TOPIC = "alerts"
 ERROR_TOPIC = "error_logs"
 ALERT_TYPE = "delay_detected"
+UNKNOWN_PARCEL = "unknown_parcel"
 
 # --- fixed values: dashboard ---
 SLA_TARGET_PCT = 95.0

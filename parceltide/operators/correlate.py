@@ -83,7 +83,7 @@ def dead_letters(events: DataFrame, plan: DataFrame) -> DataFrame:
     return dead_letters_of(unknown_events(events, plan))
 
 
-def dead_letters_of(unknown: DataFrame, reason: str = "unknown_parcel") -> DataFrame:
+def dead_letters_of(unknown: DataFrame, reason: str = K.UNKNOWN_PARCEL) -> DataFrame:
     message = F.struct(
         F.lit(reason).alias("reason"), F.col("parcel_id"), F.col("event_type"),
         wire_event(unknown.columns).alias("raw"),

@@ -280,6 +280,17 @@ def publish_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.decode_events(topics.read_file_topic(spark, path))
 
 
+def publish_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts published as keyed JSON messages and decoded again."""
+    def build() -> str:
+        path = shared_dir(spark, "published-alerts")
+        topics.publish_files(topics.encode_alerts(store(spark, sf_dir).alerts), path)
+        return path
+
+    path = once(spark, sf_dir, "published-alerts", build)
+    return topics.decode_alerts(topics.read_file_topic(spark, path))
+
+
 def parse_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON payloads decoded with a default and encoded in canonical form."""
     payload = F.from_json("props", "k bigint")
@@ -385,6 +396,7 @@ _OTHER: dict[str, Query] = {
     "scan_planned": scan_planned, "scan_events": scan_events, "clean_columns": clean_columns,
     "flatten_pages": flatten_pages, "seed_dimensions": seed_dimensions,
     "upsert_planned": upsert_planned, "publish_events": publish_events,
+    "publish_alerts": publish_alerts,
     "parse_payloads": parse_payloads, "parse_latlon": parse_latlon, "strip_think": strip_think,
     "chat_context": chat_context, "features": feature_rows,
     "stratified_split": stratified_split, "stratified_folds": stratified_folds,

@@ -329,6 +329,7 @@ def oracle_sql() -> dict[str, str]:
                 FROM (VALUES {_values(K.CLIENT_SEED)}) AS t(column0, column1, column2, column3))
             SELECT * FROM stored UNION ALL SELECT * FROM seed WHERE client_id NOT IN (SELECT client_id FROM stored)""",
         "publish_events": _q("ev", sql=f"SELECT {_EVENT} FROM ev"),
+        "publish_alerts": _q("al", sql="SELECT * EXCLUDE (acknowledged) FROM al"),
         "canonical_events": _q("ev", sql="SELECT * REPLACE (strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') AS event_timestamp) FROM ev"),
         "upsert_planned": _q(g, sql="""SELECT t.parcel_id, coalesce(g.client_id, t.client_id) AS client_id, coalesce(g.route_id, t.route_id) AS route_id,
             coalesce(g.hub_id, t.hub_id) AS hub_id, 'planned' AS status, t.planned_pickup + INTERVAL 30 MINUTE AS planned_pickup, g.actual_pickup,

@@ -41,6 +41,11 @@ EVENT_PAYLOAD = _struct(
     hub_id=_STR, latitude=_DBL, longitude=_DBL, replayed_at=_STR,
 )
 
+ALERT_PAYLOAD = _struct(
+    alert_id=_STR, parcel_id=_STR, alert_type=_STR, severity=_STR, delay_min=_DBL,
+    event_type=_STR, hub_id=_STR, client_id=_STR, route_id=_STR, message=_STR, created_at=_STR,
+)
+
 HUBS = _struct(
     hub_id=_STR, hub_name=_STR, city=_STR, latitude=_DBL, longitude=_DBL,
     capacity=T.IntegerType(),

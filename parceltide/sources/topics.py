@@ -7,6 +7,7 @@ write JSON files of message rows, which is what the tests use.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from parceltide import constants as K, schemas
 from parceltide.functions import derive, parse
@@ -48,6 +49,14 @@ def publish_kafka(messages: DataFrame, servers: str, topic: str) -> None:
     writer.option("topic", topic).save()
 
 
+def stream_to_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
+    """Publish a stream of messages with the same guarantees."""
+    writer = messages.select("key", "value").writeStream.format("kafka").option("topic", topic)
+    for name, value in {**PRODUCER_OPTIONS, "kafka.bootstrap.servers": servers}.items():
+        writer = writer.option(name, value)
+    return writer.option("checkpointLocation", checkpoint).start()
+
+
 def publish_files(messages: DataFrame, path: str) -> None:
     messages.select(*schemas.TOPIC_MESSAGE.names).write.mode("append").json(path)
 
@@ -103,10 +112,30 @@ def canonical_events(events: DataFrame) -> DataFrame:
     )
 
 
-def encode_rows(rows: DataFrame, topic: str, at: str = "created_at") -> DataFrame:
-    """Any rows with a parcel, for example alerts, as messages of a topic."""
-    return _messages(rows, topic, F.struct(*rows.columns), derive.micros(F.col(at)),
-                     F.col("parcel_id"))
+def encode_alerts(alerts: DataFrame) -> DataFrame:
+    """Alert messages keyed by parcel."""
+    fields = [
+        parse.iso_text(F.col(c)).alias(c) if c == "created_at" else F.col(c)
+        for c in schemas.ALERT_PAYLOAD.names
+    ]
+    return _messages(alerts, K.ALERT_TOPIC, F.struct(*fields),
+                     derive.micros(F.col("created_at")), F.col("alert_id"))
+
+
+def decode_alerts(messages: DataFrame) -> DataFrame:
+    return messages.filter(F.col("topic") == K.ALERT_TOPIC).select(
+        F.from_json("value", schemas.ALERT_PAYLOAD).alias("a")
+    ).select("a.*").withColumn("created_at", parse.timestamp(F.col("created_at")))
+
+
+def encode_unknown(dead_letters: DataFrame) -> DataFrame:
+    """Error messages of unknown parcels, keyed by parcel; the value is the dead letter itself."""
+    return dead_letters.filter(F.col("error_reason") == K.UNKNOWN_PARCEL).select(
+        F.lit(K.ERROR_TOPIC).alias("topic"),
+        F.get_json_object("raw_message", "$.parcel_id").alias("key"),
+        F.col("raw_message").alias("value"),
+        derive.micros(F.col("created_at")).alias("at_us"), F.lit("").alias("at_seq"),
+    )
 
 
 def _messages(df: DataFrame, topic: str, payload: Column, at_us: Column,

@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 import simulate
@@ -67,8 +68,9 @@ def alert_rows(df):
             "client_id", "route_id").collect())))
 
 
-def test_golden_record_matches_sequential_handling(spark):
-    messages = make_messages(1)
+@pytest.mark.parametrize("seed", [1, 11, 21])
+def test_golden_record_matches_sequential_handling(spark, seed):
+    messages = make_messages(seed)
     expected, alerts, unknown = simulate.run(messages)
     plan, events = frames(spark, messages)
     folded = golden.fold_plan(plan, ("seq",))

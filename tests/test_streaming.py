@@ -109,7 +109,16 @@ def test_interleaved_topics_over_several_batches_and_a_restart(spark, folder):
 def test_one_file_gives_the_same_result(spark, folder):
     messages = interleaved(5)
     publish(spark, encoded(messages), f"{folder}/in")
-    check(run_tower(spark, f"{folder}/in", f"{folder}/out"), messages)
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out",
+                       publish=lambda m: topics.publish_files(m, f"{folder}/published"))
+    check(tables, messages)
+    published = topics.read_file_topic(spark, f"{folder}/published")
+    counts = {r["topic"]: r["count"] for r in published.groupBy("topic").count().collect()}
+    _, alerts, unknown = simulate.run(messages)
+    assert counts == {"alerts": len(alerts), "error_logs": len(unknown)}
+    assert alert_rows(topics.decode_alerts(published)) == sorted(map(str, alerts))
+    keys = published.filter("topic = 'error_logs'").select("key").collect()
+    assert sorted(r[0] for r in keys) == sorted(parcel for parcel, _ in unknown)
 
 
 def test_repeating_a_batch_changes_nothing(spark, folder):
