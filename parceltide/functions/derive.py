@@ -19,6 +19,15 @@ def minutes_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end).cast("double") / F.lit(_MICROS_PER_MINUTE)
 
 
+def case(branches: list[tuple[Column, Column]], otherwise: Column) -> Column:
+    """``CASE WHEN … THEN … ELSE … END`` over (condition, value) pairs."""
+    condition, value = branches[0]
+    chain = F.when(condition, value)
+    for condition, value in branches[1:]:
+        chain = chain.when(condition, value)
+    return chain.otherwise(otherwise)
+
+
 def event_delay(
     event_type: Column,
     event_ts: Column,
@@ -64,18 +73,14 @@ def risk_label(delay: Column) -> Column:
 
 
 def severity(delay: Column) -> Column:
-    level = F.when(F.lit(False), K.SEVERITY_FLOOR)
-    for name, limit in K.SEVERITY_LIMITS:
-        level = level.when(delay > limit, name)
-    return level.otherwise(K.SEVERITY_FLOOR)
+    return case([(delay > limit, F.lit(name)) for name, limit in K.SEVERITY_LIMITS],
+                F.lit(K.SEVERITY_FLOOR))
 
 
 def status_of_event(event_type: Column) -> Column:
     """Status an event leads to; NULL for types that keep the previous status."""
-    status = F.when(F.lit(False), F.lit(None).cast("string"))
-    for event, result in K.STATUS_BY_EVENT.items():
-        status = status.when(event_type == event, result)
-    return status
+    return case([(event_type == event, F.lit(status)) for event, status in
+                 K.STATUS_BY_EVENT.items()], F.lit(None).cast("string"))
 
 
 def alert_message(parcel_id: Column, delay: Column, event_type: Column) -> Column:
@@ -119,7 +124,5 @@ def severity_icon(level: Column) -> Column:
 
 def lookup(key: Column, table: dict[str, float], default: float) -> Column:
     """Value of a small fixed table, as a ``CASE`` that stays inside codegen."""
-    value = F.when(F.lit(False), F.lit(default))
-    for name, number in table.items():
-        value = value.when(key == name, F.lit(float(number)))
-    return value.otherwise(F.lit(float(default)))
+    return case([(key == name, F.lit(float(number))) for name, number in table.items()],
+                F.lit(float(default)))

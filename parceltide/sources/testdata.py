@@ -44,9 +44,9 @@ def order_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("storm")
     )
     congestion = (k * 37 + 11) % 101
-    tenths = F.lit(None).cast("bigint")
-    for name, value in _FACTOR_TENTHS.items():
-        tenths = F.when(F.col("_weather") == name, F.lit(value).cast("bigint")).otherwise(tenths)
+    tenths = derive.case(
+        [(F.col("_weather") == name, F.lit(value).cast("bigint"))
+         for name, value in _FACTOR_TENTHS.items()], F.lit(None).cast("bigint"))
     staged = orders.select(
         k.alias("order_key"),
         F.concat(F.lit("FR"), (k + 100000).cast("string")).alias("parcel_id"),
@@ -63,9 +63,7 @@ def order_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
         (200 + (k * 61) % 700).cast("double").alias("distance_km"),
         ((10 + (k * 7919) % 4991) / F.lit(100.0)).alias("weight_kg"),
         # Low-priority orders that are still pending have no transport plan yet.
-        (~((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"))).alias(
-            "released"
-        ),
+        ((F.col("o_orderstatus") != "P") | (F.col("o_orderpriority") != "5-LOW")).alias("released"),
     )
     duration = F.floor(
         F.col("_avg") * tenths * (1000 + 3 * F.col("_c")) / 10000

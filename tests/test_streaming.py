@@ -12,7 +12,8 @@ import simulate
 from parceltide import schemas
 from parceltide.sources import topics
 from parceltide.streaming import timeline, tower
-from test_golden import alert_rows, make_messages, state_rows
+from parceltide.operators import golden
+from test_golden import alert_rows, frames, make_messages, state_rows
 
 
 def interleaved(seed: int):
@@ -121,6 +122,19 @@ def test_one_file_gives_the_same_result(spark, folder):
     assert sorted(r[0] for r in keys) == sorted(parcel for parcel, _ in unknown)
 
 
+def test_late_events_are_ignored_in_event_time_order(spark, folder):
+    messages = make_messages(8, parcels=10, events=120)
+    rows = encoded(messages)
+    publish(spark, rows[:70], f"{folder}/in")
+    publish(spark, rows[70:], f"{folder}/in")
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out", order_by=tower.EVENT_TIME)
+    plan, events = frames(spark, messages)
+    expected = golden.golden_record(golden.fold_plan(plan, ("seq",)), events)
+    assert state_rows(tables.state()) == state_rows(expected)
+    _, alerts, _ = simulate.run(messages)
+    assert alert_rows(tables.alerts) == sorted(map(str, alerts))
+
+
 def test_repeating_a_batch_changes_nothing(spark, folder):
     messages = interleaved(6)[:60]
     publish(spark, encoded(messages), f"{folder}/in")
