@@ -22,8 +22,10 @@ _PLAN_FIRST = ("client_id", "route_id", "hub_id", "dest_hub_id", "distance_km",
 _PLAN_LAST = ("planned_pickup", "planned_delivery", "weather_condition", "congestion_level")
 
 
-def _arrival(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order]).alias("at")
+def keyed(order: Sequence[str], *payload: str) -> Column:
+    """``struct(arrival key, payload)``, flat and without repeating a key column: the buffers of
+    the fold are compared and copied for every row."""
+    return F.struct(*order, *[c for c in payload if c not in order])
 
 
 def fold_plan(planned: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -32,8 +34,8 @@ def fold_plan(planned: DataFrame, order: Sequence[str]) -> DataFrame:
     first = [c for c in _PLAN_FIRST if c in planned.columns]
     last = [c for c in _PLAN_LAST if c in planned.columns]
     folded = planned.groupBy("parcel_id").agg(
-        F.min(F.struct(_arrival(order), *first)).alias("first"),
-        F.max(F.struct(_arrival(order), *last)).alias("last"),
+        F.min(keyed(order, *first)).alias("first"),
+        F.max(keyed(order, *last)).alias("last"),
     )
     kept = [c for c in schemas.PLANNED.names if c in first + last]
     return folded.select(
@@ -43,18 +45,28 @@ def fold_plan(planned: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def event_facts(events: DataFrame, order: Sequence[str] = EVENT_ORDER) -> list[Column]:
     """The aggregates that carry everything later steps need from a parcel's events."""
-    kind, at = F.col("event_type"), _arrival(order)
+    kind = F.col("event_type")
     zoned = F.col("zoned") if "zoned" in events.columns else F.lit(False).alias("zoned")
     reference = [c for c in ("planned_pickup", "planned_delivery") if c in events.columns]
-    hub = F.struct(at, F.col("hub_id"))
+    payload = ("event_type", "event_timestamp", "hub_id", *reference)
+    last = F.max(F.struct(*order, *[c for c in payload if c not in order], zoned))
     if "has_hub" in events.columns:
-        hub = F.when(F.col("has_hub"), hub)
+        hub = F.max(F.when(F.col("has_hub"), keyed(order, "hub_id")))
+    else:
+        hub = F.struct(last["hub_id"].alias("hub_id"))
+
+    def latest(event: str) -> Column:
+        if order[0] == "event_timestamp":
+            when = F.when(kind == event, F.col("event_timestamp"))
+            return F.struct(F.max(when).alias("event_timestamp"))
+        return F.max(F.when(kind == event, keyed(order, "event_timestamp")))
+
     return [
-        F.max(F.struct(at, "event_type", "event_timestamp", zoned, *reference)).alias("last"),
-        F.max(hub).alias("hub"),
-        F.max(F.when(kind.isin(*K.STATUS_BY_EVENT), F.struct(at, "event_type"))).alias("mapped"),
-        F.max(F.when(kind == "pickup", F.struct(at, "event_timestamp"))).alias("picked"),
-        F.max(F.when(kind == "delivered", F.struct(at, "event_timestamp"))).alias("dropped"),
+        last.alias("last"),
+        hub.alias("hub"),
+        F.max(F.when(kind.isin(*K.STATUS_BY_EVENT), keyed(order, "event_type"))).alias("mapped"),
+        latest("pickup").alias("picked"),
+        latest("delivered").alias("dropped"),
     ]
 
 
