@@ -35,7 +35,7 @@ SHINGLE = 3
 BAND_RATIO = 1.5
 LEAST_SIZE = 9  # smaller sets link only if they are equal
 PARITY_LONGS = 8
-SHARED = 0.5  # chance that a shingle of one set is in an unrelated one, as boilerplate makes it
+SHARED = 0.05  # chance that a shingle of one set is in an unrelated one, as boilerplate makes it
 PAIR_COST = 4.0  # of a candidate pair, in index entries
 _SEEN = 100_000
 
