@@ -194,18 +194,21 @@ def index_entries(docs: DataFrame, bands: list[Band]) -> DataFrame:
 # --- candidates and verification -------------------------------------------------------------
 
 
+def _close(x: str, y: str) -> Column:
+    """What sizes and sketches leave possible; columns n_*, p_* of both sides."""
+    apart = sum((F.bit_count(F.get(f"p_{x}", F.lit(i)).bitwiseXOR(F.get(f"p_{y}", F.lit(i))))
+                 for i in range(PARITY_LONGS)), F.lit(0))
+    small, large = F.least(f"n_{x}", f"n_{y}"), F.greatest(f"n_{x}", f"n_{y}")
+    return (small * 100 >= large * 90) & (apart * 19 <= F.col(f"n_{x}") + F.col(f"n_{y}"))
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The linked ones of ``pairs(x, y)`` of short ids, as links (a, b) of keys."""
     side = lambda n: classes.select(
         F.col("sid").alias(n), F.col("key").alias(f"key_{n}"), F.col("n_shingles").alias(f"n_{n}"),
         F.col("parity").alias(f"p_{n}"), F.col("place").alias(f"place_{n}"))
-    apart = sum((F.bit_count(F.get("p_x", F.lit(i)).bitwiseXOR(F.get("p_y", F.lit(i))))
-                 for i in range(PARITY_LONGS)), F.lit(0))
-    close = (
-        (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * 90)
-        & (apart * 19 <= F.col("n_x") + F.col("n_y")))
     near = common.written(
-        pairs.join(side("x"), "x").join(side("y"), "y").filter(close)
+        pairs.join(side("x"), "x").join(side("y"), "y").filter(_close("x", "y"))
         .select("key_x", "key_y", "place_x", "place_y"), "close-pairs")
     # One row for each class that is in a pair, found by its id and text. Texts of copies stay put.
     wanted = near.select(F.col("key_x").alias("key"), F.col("place_x").alias("place")).unionByName(
@@ -267,19 +270,22 @@ def join_components(docs: DataFrame) -> DataFrame:
     stars = common.written(verified(pairs, classes, docs), "links")
 
     first = components(stars)
-    ids = classes.select("key", "sid").join(first, F.col("key") == F.col("node"), "left").select(
-        "sid", F.coalesce("component", "key").alias("component"))
-    placed = members.join(ids, "sid")
-    hubs = placed.filter("sid = hub").select("bucket", F.col("component").alias("hub_component")).distinct()
-    open_buckets = common.written(
-        placed.join(hubs, "bucket").filter("component <> hub_component")
-        .select("bucket", "hub", "sid", "role", "component"), "open-buckets")
-    others = placed.filter("sid <> hub").select(
-        "bucket", F.col("sid").alias("other"), F.col("role").alias("other_role"),
-        F.col("component").alias("other_component"))
-    rest = open_buckets.join(others, "bucket").filter(
-        (F.col("component") != F.col("other_component")) & _may_link("role", "other_role")
-    ).select(F.least("sid", "other").alias("x"), F.greatest("sid", "other").alias("y")).distinct()
+    ids = classes.select("key", "sid", "n_shingles", "parity").join(
+        first, F.col("key") == F.col("node"), "left").select(
+        "sid", F.coalesce("component", "key").alias("component"), "n_shingles", "parity")
+    placed = members.join(ids.select("sid", "component"), "sid")
+    several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
+        "low <> high").select("bucket")
+    unsettled = common.written(members.join(several, "bucket").join(ids, "sid"), "open-buckets")
+    hubs = unsettled.filter("sid = hub").select("bucket", F.col("component").alias("hub_component")).distinct()
+    side = lambda n: [F.col("sid").alias(n), F.col("role").alias(f"role_{n}"), F.col("component").alias(
+        f"component_{n}"), F.col("n_shingles").alias(f"n_{n}"), F.col("parity").alias(f"p_{n}")]
+    strays = unsettled.join(hubs, "bucket").filter("component <> hub_component").select("bucket", *side("s"))
+    others = unsettled.filter("sid <> hub").select("bucket", *side("o"))
+    # The sketches are compared within the join, so a bucket emits only pairs that may link.
+    rest = strays.join(others, (strays["bucket"] == others["bucket"]) & (F.col("component_s") != F.col("component_o"))
+                       & _may_link("role_s", "role_o") & _close("s", "o")).select(
+        F.least("s", "o").alias("x"), F.greatest("s", "o").alias("y")).distinct()
     late = common.written(verified(rest, classes, docs), "links")
     last = components(stars.unionByName(late)) if late.head(1) else first
 
