@@ -17,10 +17,11 @@ REJECT = "reject_reason"
 
 def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """A CSV file with a header, every column as text. ``multiline`` allows line breaks inside
-    quotes at the price of unsplittable files."""
+    quotes at the price of unsplittable files. All files need the same header: one that orders its
+    columns differently is an error instead of silently swapped columns."""
     return clean_columns(
         spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-        .csv(path)
+        .option("enforceSchema", False).csv(path)
     )
 
 
@@ -92,7 +93,7 @@ def rejected(parsed: DataFrame) -> DataFrame:
 
 def scan_planned(spark: SparkSession, path: str) -> DataFrame:
     """Plan rows of CSV files, with their arrival order for upserts."""
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False).csv(path)
     return accepted(parse_planned(clean_columns(raw.select("*", file_arrival().alias("arrival")))))
 
 
