@@ -38,6 +38,13 @@ PARITY_LONGS = 8
 SHARED = 0.05  # chance that a shingle of one set is in an unrelated one, as boilerplate makes it
 PAIR_COST = 4.0  # of a candidate pair, in index entries
 _SEEN = 100_000
+RUNTIME_FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "8000000",
+    "spark.sql.optimizer.runtimeFilter.number.threshold": "1",
+}
 
 # Roles of an index entry.
 EXACT, OWN = 1, 2
@@ -202,6 +209,23 @@ def _close(x: str, y: str) -> Column:
     return (small * 100 >= large * 90) & (apart * 19 <= F.col(f"n_{x}") + F.col(f"n_{y}"))
 
 
+def texts_of(near: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, text) of the classes in ``near``, each from the one row that stands for it.
+
+    Spark's runtime filter drops the other rows before their texts are shuffled. Its Bloom filter has
+    a fixed largest size; beyond that it lets more rows through to the join, which decides.
+    """
+    for name, value in RUNTIME_FILTER.items():
+        docs.sparkSession.conf.set(name, value)
+    places = common.written(near.select(F.col("key_x").alias("key"), "place_x", "n_x").union(
+        near.select("key_y", "place_y", "n_y")).distinct().select(
+        "key", F.col("n_x").alias("n"), *_identity(*(F.col(f"place_x.{c}") for c in ("absent", "doc_id", "t")))),
+        "close-places")
+    doc_id, text = F.col("doc_id").cast("bigint"), common.text_or_empty()
+    rows = docs.select(text.alias("text"), *_identity(doc_id.isNull(), doc_id, F.xxhash64(text)))
+    return rows.join(places.filter(F.col("n") >= LEAST_SIZE), ["h1", "h2"]).select("key", "text").dropDuplicates(["key"])
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The linked ones of ``pairs(x, y)`` of short ids, as links (a, b) of keys."""
     side = lambda n: classes.select(
@@ -209,14 +233,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
         F.col("parity").alias(f"p_{n}"), F.col("place").alias(f"place_{n}"))
     near = common.written(
         pairs.join(side("x"), "x").join(side("y"), "y").filter(_close("x", "y"))
-        .select("key_x", "key_y", "place_x", "place_y"), "close-pairs")
-    # One row for each class that is in a pair, found by its id and text. Texts of copies stay put.
-    wanted = near.select(F.col("key_x").alias("key"), F.col("place_x").alias("place")).unionByName(
-        near.select(F.col("key_y").alias("key"), F.col("place_y").alias("place"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                        F.xxhash64(common.text_or_empty()).alias("t"), common.text_or_empty().alias("text"))
-    held = common.written(texts.join(wanted, texts["doc_id"].eqNullSafe(F.col("place.doc_id"))
-                      & (texts["t"] == F.col("place.t"))).select("key", "text").dropDuplicates(["key"]), "close-texts")
+        .select("key_x", "key_y", *(c for n in "xy" for c in (f"place_{n}", f"n_{n}"))), "close-pairs")
+    held = common.written(texts_of(near, docs), "close-texts")
     both = near.select("key_x", "key_y").join(
         held.select(F.col("key").alias("key_x"), F.col("text").cast("binary").alias("text_x")), "key_x").join(
         held.select(F.col("key").alias("key_y"), F.col("text").cast("binary").alias("text_y")), "key_y")
