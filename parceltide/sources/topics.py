@@ -24,18 +24,17 @@ _KEEP_NULLS = {"ignoreNullFields": "false"}
 _BEFORE_EVENTS = -(2**62)
 
 
-def kafka_messages(spark: SparkSession, servers: str, max_offsets: int | None = None) -> DataFrame:
+def kafka_messages(spark: SparkSession, servers: str, max_offsets: int = 1_000_000) -> DataFrame:
     """Stream of both topics from the earliest offset. Arrival order is the record timestamp and
-    offset, so the topics should stamp records on append."""
+    offset, so the topics should stamp records on append. A micro-batch takes at most ``max_offsets``
+    records, the first one of a long topic too."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(CONSUMED_TOPICS))
         .option("startingOffsets", "earliest")
     )
-    if max_offsets:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return reader.load().select(
+    return reader.option("maxOffsetsPerTrigger", max_offsets).load().select(
         "topic", F.col("key").cast("string"), F.col("value").cast("string"),
         F.unix_micros("timestamp").alias("at_us"),
         F.lpad(F.col("offset").cast("string"), 20, "0").alias("at_seq"),
