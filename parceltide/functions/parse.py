@@ -54,8 +54,9 @@ def iso_text(ts: Column) -> Column:
 
 
 def decode(value: Column, schema: T.StructType, corrupt: str = "_corrupt") -> Column:
-    """JSON text to a struct; undecodable text is kept in the ``corrupt`` field."""
-    with_corrupt = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    """JSON text to a struct of texts, so that a number sent as text stays usable; text that is no
+    JSON object is kept in the ``corrupt`` field."""
+    with_corrupt = T.StructType([T.StructField(n, T.StringType()) for n in (*schema.names, corrupt)])
     return F.from_json(
         value, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     )

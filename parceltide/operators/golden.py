@@ -47,6 +47,8 @@ def event_facts(events: DataFrame, order: Sequence[str] = EVENT_ORDER) -> list[C
     """The aggregates that carry everything later steps need from a parcel's events."""
     kind = F.col("event_type")
     zoned = F.col("zoned") if "zoned" in events.columns else F.lit(False).alias("zoned")
+    # The stream compares the arrival of the last mapped event with that of the plan.
+    arrived = [c for c in ("arrived_us", "arrived_seq") if c in events.columns]
     reference = [c for c in ("planned_pickup", "planned_delivery") if c in events.columns]
     payload = ("event_type", "event_timestamp", "hub_id", *reference)
     last = F.max(F.struct(*order, *[c for c in payload if c not in order], zoned))
@@ -64,7 +66,7 @@ def event_facts(events: DataFrame, order: Sequence[str] = EVENT_ORDER) -> list[C
     return [
         last.alias("last"),
         hub.alias("hub"),
-        F.max(F.when(kind.isin(*K.STATUS_BY_EVENT), keyed(order, "event_type"))).alias("mapped"),
+        F.max(F.when(kind.isin(*K.STATUS_BY_EVENT), keyed(order, "event_type", *arrived))).alias("mapped"),
         latest("pickup").alias("picked"),
         latest("delivered").alias("dropped"),
     ]

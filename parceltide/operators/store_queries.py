@@ -214,7 +214,7 @@ def _alert_page(alerts: DataFrame, state: DataFrame, severity: str | None, limit
         ["created_at"], ["alert_id", "message"], limit,
     ).drop(*[c for c in parcel_columns if c in alerts.columns])
     parcels = state.select("parcel_id", *parcel_columns)
-    if limit <= BROADCAST_PAGE_ROWS:
+    if limit is not None and limit <= BROADCAST_PAGE_ROWS:
         keys = page.select("parcel_id").distinct()
         parcels = F.broadcast(parcels.join(F.broadcast(keys), "parcel_id", "left_semi"))
     return page.join(parcels, "parcel_id", "left")

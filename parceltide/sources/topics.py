@@ -37,7 +37,10 @@ def kafka_messages(spark: SparkSession, servers: str, max_offsets: int = 1_000_0
     return reader.option("maxOffsetsPerTrigger", max_offsets).load().select(
         "topic", F.col("key").cast("string"), F.col("value").cast("string"),
         F.unix_micros("timestamp").alias("at_us"),
-        F.lpad(F.col("offset").cast("string"), 20, "0").alias("at_seq"),
+        # Equal times: plans first, then by place in the log.
+        F.concat_ws("/", F.when(F.col("topic") == K.PLAN_TOPIC, "0").otherwise("1"),
+                    F.lpad(F.col("partition").cast("string"), 10, "0"),
+                    F.lpad(F.col("offset").cast("string"), 20, "0")).alias("at_seq"),
     )
 
 
@@ -166,8 +169,14 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     def broken(side: str) -> Column:
         return F.col(f"{side}._corrupt").isNotNull() | F.col(side).isNull()
 
-    def given(name: str, default: Column | str | float) -> Column:
-        field = F.col(f"p.{name}")
+    numbers = [F.col(f"{side}.{f.name}") for side, schema in (
+        ("p", schemas.PLANNED_PAYLOAD), ("e", schemas.EVENT_PAYLOAD))
+        for f in schema.fields if f.dataType.typeName() == "double"]
+    bad_number = F.lit(False)
+    for text in numbers:
+        bad_number = bad_number | (text.isNotNull() & parse.number(text).isNull())
+
+    def given(name: str, field: Column, default: Column | str | float) -> Column:
         # The keys are only looked up for absent or null fields.
         return F.when(field.isNotNull() | parse.has_key(value, name), field).otherwise(default)
 
@@ -181,17 +190,20 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     return decoded.select(
         *messages.columns,
         F.when(F.when(is_plan, broken("p")).otherwise(broken("e")), "invalid_json")
-        .when(missing, "missing_field").when(bad_time, "bad_timestamp").alias("problem"),
+        .when(missing, "missing_field").when(bad_time, "bad_timestamp")
+        .when(bad_number, "bad_number").alias("problem"),
         parcel.alias("parcel_id"),
         F.when(is_plan, F.col("p.hub_id")).otherwise(F.col("e.hub_id")).alias("hub_id"),
         (is_plan | F.col("e.hub_id").isNotNull() | parse.has_key(value, "hub_id")).alias("has_hub"),
         "p.client_id", "p.route_id",
-        F.when(is_plan, given("weather_condition", K.DEFAULT_WEATHER)).alias("weather_condition"),
-        F.when(is_plan, given("congestion_level", F.lit(0.0))).alias("congestion_level"),
+        F.when(is_plan, given(
+            "weather_condition", F.col("p.weather_condition"), K.DEFAULT_WEATHER)).alias("weather_condition"),
+        F.when(is_plan, given(
+            "congestion_level", parse.number(F.col("p.congestion_level")), F.lit(0.0))).alias("congestion_level"),
         *[parse.timestamp(text).alias(name) for name, text in times.items()],
         "e.event_id", "e.event_type",
         parse.is_zoned(F.col("e.event_timestamp")).alias("zoned"),
-        "e.latitude", "e.longitude",
+        *[parse.number(F.col(f"e.{c}")).alias(c) for c in ("latitude", "longitude")],
     )
 
 

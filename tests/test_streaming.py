@@ -1,7 +1,9 @@
 """The control-tower stream against the yardstick: interleaving, re-plans, bad messages, restart."""
 
+import glob
 import json
 import random
+import shutil
 from collections import Counter
 from datetime import datetime
 
@@ -63,7 +65,7 @@ def encoded(messages):
 
 def run_tower(spark, source, out, **options):
     stream = topics.stream_file_topic(spark, source, 1)
-    tower.start_tower(stream, out, buckets=8, **options).awaitTermination()
+    tower.start_tower(stream, out, **options).awaitTermination()
     return tower.TowerTables(spark, out)
 
 
@@ -94,8 +96,8 @@ def test_interleaved_topics_over_several_batches_and_a_restart(spark, folder):
     # The stream stops and starts again from its checkpoint; bad messages arrive as well.
     bad = [(10_000 + n, topic, value) for n, (topic, value, _) in enumerate(BAD)]
     publish(spark, rows[cuts[2]:] + bad, source)
-    with pytest.raises(ValueError, match="8 buckets"):
-        tower.start_tower(topics.stream_file_topic(spark, source, 1), out, buckets=9)
+    with pytest.raises(ValueError, match="order_by"):
+        tower.start_tower(topics.stream_file_topic(spark, source, 1), out, order_by="other")
     tables = run_tower(spark, source, out, refresh_kpi=True)
     check(tables, messages, bad=len(BAD))
     reasons = Counter(r[0] for r in tables.errors.select("error_reason").collect())
@@ -136,14 +138,81 @@ def test_late_events_are_ignored_in_event_time_order(spark, folder):
     assert alert_rows(tables.alerts) == sorted(map(str, alerts))
 
 
-def test_repeating_a_batch_changes_nothing(spark, folder):
+def test_an_unpublished_batch_is_not_read_and_repeating_it_changes_nothing(spark, folder):
     messages = interleaved(6)[:60]
     publish(spark, encoded(messages), f"{folder}/in")
     tables = run_tower(spark, f"{folder}/in", f"{folder}/out")
-    written = spark.read.parquet(f"{folder}/out/incoming").drop("batch_id")
-    repeated = spark.createDataFrame(written.collect(), written.schema)
-    tower.write_batch(tables, repeated, 0)
+    source = topics.read_file_topic(spark, f"{folder}/in")
+    tower.write_batch(tables, source, 0)  # published already
     check(tables, messages)
+    shutil.move(f"{folder}/out/published/batch_id=0", f"{folder}/marker")
+    assert tables.state().count() == tables.log.count() == 0
+    tower.write_batch(tables, source, 0)
+    check(tables, messages)
+
+
+def test_half_a_compaction_loses_no_parcel(spark, folder):
+    messages = interleaved(9)
+    rows = encoded(messages)
+    for n in range(0, len(rows), 12):
+        publish(spark, rows[n:n + 12], f"{folder}/in")
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out", compact_every=4)
+    check(tables, messages)
+    batches = tables.published()
+    assert len(tables.generations()) == 2 and batches >= 12
+    for step in ("incoming", "plan_versions", "handled"):
+        assert not tables.has(f"{step}/batch_id=0")
+    counts = tables.counts.agg(F.sum("plans"), F.sum("events")).first()
+    assert sum(counts) == len(messages)
+    # The newest generation was written, but its job died before the marker and left half of it.
+    number, facts = tables.generations()[-1]
+    shutil.move(f"{folder}/out/generations/number={number}", f"{folder}/marker")
+    part = next(glob.iglob(f"{folder}/out/{facts}/**/part-*.parquet", recursive=True))
+    shutil.move(part, f"{folder}/part")
+    check(tables, messages)
+    tower.compact(tables, batches)
+    check(tables, messages)
+
+
+def test_the_stream_reads_its_source_once_and_needs_no_python(spark, folder):
+    messages = interleaved(5)
+    publish(spark, encoded(messages), f"{folder}/in")
+    stream = topics.stream_file_topic(spark, f"{folder}/in", 1)
+    query = tower.start_tower(stream, f"{folder}/out")
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == len(messages)
+    tables = tower.TowerTables(spark, f"{folder}/out")
+    incoming = spark.read.parquet(f"{folder}/out/incoming/batch_id=0")
+    plan = tower.plans_before(tables, incoming, 1)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_plans_that_arrive_after_the_event_times_do_not_reset_the_status(spark, folder):
+    plan = {"parcel_id": "P1", "client_id": "C", "route_id": "R", "hub_id": "H",
+            "planned_pickup": "2024-01-01T08:00:00", "planned_delivery": "2024-01-01T12:00:00"}
+    event = {"event_id": "E1", "parcel_id": "P1", "event_type": "delivered",
+             "event_timestamp": "2024-01-01T12:30:00", "hub_id": "H"}
+    replayed = 1_767_225_600_000_000  # 2026
+    for at, topic, payload in ((0, "planned_shipments", plan), (1, "delivery_events", event)):
+        publish(spark, [(replayed + at, topic, json.dumps(payload))], f"{folder}/in")
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out", order_by=tower.EVENT_TIME)
+    assert tables.state().first()["status"] == "delivered"
+    publish(spark, [(replayed + 2, "planned_shipments", json.dumps(plan))], f"{folder}/in")
+    assert run_tower(spark, f"{folder}/in", f"{folder}/out", order_by=tower.EVENT_TIME).state().first()[
+        "status"] == "planned"
+
+
+def test_numbers_sent_as_text_are_numbers(spark, folder):
+    plan = {"parcel_id": "P1", "client_id": "C", "congestion_level": "0.5",
+            "planned_pickup": "2024-01-01T08:00:00", "planned_delivery": "2024-01-01T12:00:00"}
+    event = {"parcel_id": "P1", "event_type": "pickup", "event_timestamp": "2024-01-01T08:00:00",
+             "latitude": "1.5", "longitude": 2}
+    publish(spark, encoded([("planned_shipments", plan), ("delivery_events", event),
+                            ("delivery_events", {**event, "latitude": "north"})]), f"{folder}/in")
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out")
+    assert tables.state().first()["congestion_level"] == 0.5
+    assert [tuple(r) for r in tables.log.select("latitude", "longitude").collect()] == [(1.5, 2.0)]
+    assert [r[0] for r in tables.errors.select("error_reason").collect()] == ["bad_number"]
 
 
 def test_timeline_counts_every_event(spark, folder):
