@@ -26,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _EVENT_COLUMNS = ("event_id", "parcel_id", "event_type", "event_timestamp", "hub_id",
                   "latitude", "longitude")
-# Rounds of the registered model queries; a real training run takes the default settings.
+# A trial run: the registered model queries do less than the task, whose settings are the default.
 _DEMO_MODEL = model.RiskModelSettings(rounds=3, max_depth=3)
 
 _built: dict[tuple[str, str, str], object] = {}
