@@ -233,7 +233,7 @@ def scan_planned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_events(spark, f"{_csv_landing(spark, sf_dir)}/events").drop(
-        "event_id", "event_timestamp_text")
+        "event_timestamp_text")
 
 
 def clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,7 +361,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         return path
 
     path = once(spark, sf_dir, "ingest", build)
-    return spark.read.parquet(f"{path}/messages").drop("value", "hub_id")
+    return spark.read.parquet(f"{path}/messages").drop("value")
 
 
 def stream_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,7 +375,7 @@ def stream_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_golden_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tower(spark, sf_dir).state()
+    return _tower(spark, sf_dir).state
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,6 +392,23 @@ def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.orderBy(F.col("batch_id").desc()).limit(1).drop("batch_id")
 
 
+def stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State in event-time order of a replay: plans and events arrive centuries after the event times."""
+
+    def build() -> tower.TowerTables:
+        path, replayed = shared_dir(spark, "replay"), F.lit(10**16)
+        arrival = F.when(F.col("topic") == K.PLAN_TOPIC, replayed).otherwise(F.col("at_us") + replayed)
+        messages = _topic_stream(spark, sf_dir).withColumn("at_us", arrival)
+        tower.start_tower(messages, path, order_by=tower.EVENT_TIME).awaitTermination()
+        return tower.TowerTables(spark, path)
+
+    return once(spark, sf_dir, "replay", build).state
+
+
+def stream_named_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_named_query(_tower(spark, sf_dir), "delayed_parcels")
+
+
 _OTHER: dict[str, Query] = {
     "scan_planned": scan_planned, "scan_events": scan_events, "clean_columns": clean_columns,
     "flatten_pages": flatten_pages, "seed_dimensions": seed_dimensions,
@@ -404,7 +421,8 @@ _OTHER: dict[str, Query] = {
     "score_parcels": score_parcels, "stream_ingest": stream_ingest,
     "stream_timeline": stream_timeline, "stream_golden_record": stream_golden_record,
     "stream_alerts": stream_alerts, "stream_dead_letters": stream_dead_letters,
-    "stream_kpi": stream_kpi,
+    "stream_kpi": stream_kpi, "stream_event_time": stream_event_time,
+    "stream_named_query": stream_named_query,
 }
 
 

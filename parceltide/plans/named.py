@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from parceltide import constants as K
 from parceltide.operators import shaping, store_queries as Q
 from parceltide.plans.store import Store
+from parceltide.streaming.tower import TowerTables
 
 _FILTERS = ("hub_id", "client_id", "severity", "status", "limit")
 
@@ -40,8 +41,9 @@ def named_queries() -> list[str]:
     return list(_QUERIES)
 
 
-def run_named_query(store: Store, name: str, filters: Mapping[str, Any] | None = None) -> DataFrame:
-    """Run a query by name and return JSON-safe columns. Unknown names raise ``KeyError``."""
+def run_named_query(store: Store | TowerTables, name: str,
+                    filters: Mapping[str, Any] | None = None) -> DataFrame:
+    """Run a query by name, over a built store or what a stream has published, and return JSON-safe columns. Unknown names raise ``KeyError``."""
     if name not in _QUERIES:
         raise KeyError(f"unknown query: {name}; known: {', '.join(_QUERIES)}")
     query, understood = _QUERIES[name]

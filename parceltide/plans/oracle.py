@@ -254,12 +254,18 @@ _TIMELINE = """SELECT date_trunc('hour', event_timestamp)::TIMESTAMP AS hour, ev
             FROM ev GROUP BY ALL"""
 
 
+_LATE_NORMALISED = """SELECT parcel_id, client_id, hub_id, route_id, status, delay_minutes, risk_level,
+            strftime(planned_delivery, '%Y-%m-%dT%H:%M:%S') AS planned_delivery,
+            strftime(actual_delivery, '%Y-%m-%dT%H:%M:%S') AS actual_delivery FROM golden WHERE delay_minutes > 15
+            ORDER BY delay_minutes DESC, parcel_id LIMIT 20"""
+
+
 def oracle_sql() -> dict[str, str]:
     g, j = "golden", "joined"
     return {
         # sources
         "scan_planned": _q("planned", sql="SELECT * FROM planned"),
-        "scan_events": _q("ev", sql="SELECT parcel_id, event_type, event_timestamp, hub_id, latitude, longitude FROM ev"),
+        "scan_events": _q("ev", sql="SELECT event_id, parcel_id, event_type, event_timestamp, hub_id, latitude, longitude FROM ev"),
         # correlation
         "correlate_events": _q(j, sql="SELECT * FROM joined"),
         "event_delay": _q(j, sql="SELECT event_id, parcel_id, event_type, delay_minutes FROM joined WHERE known"),
@@ -316,10 +322,7 @@ def oracle_sql() -> dict[str, str]:
         "event_journal": _q("ev", sql="""SELECT parcel_id, event_type, event_timestamp, hub_id, latitude, longitude FROM ev
             WHERE event_type = 'delivered' AND hub_id = 'HUB_LYON' ORDER BY event_timestamp DESC, parcel_id, event_type, hub_id LIMIT 50"""),
         "event_timeline": _q("ev", sql=_TIMELINE),
-        "normalise_result": _q(g, sql="""SELECT parcel_id, client_id, hub_id, route_id, status, delay_minutes, risk_level,
-            strftime(planned_delivery, '%Y-%m-%dT%H:%M:%S') AS planned_delivery,
-            strftime(actual_delivery, '%Y-%m-%dT%H:%M:%S') AS actual_delivery FROM golden WHERE delay_minutes > 15
-            ORDER BY delay_minutes DESC, parcel_id LIMIT 20"""),
+        "normalise_result": _q(g, sql=_LATE_NORMALISED),
         # sources and sinks
         "clean_columns": "SELECT * FROM customer",
         "flatten_pages": "SELECT c_custkey, c_name, c_acctbal FROM customer",
@@ -365,11 +368,13 @@ def oracle_sql() -> dict[str, str]:
         "classification_report": _q("judged", sql=_REPORT),
         # streams: the same results as the batch side
         "stream_ingest": _q("ev", "planned", sql="""SELECT 'planned_shipments' AS topic, parcel_id, NULL AS event_id, NULL AS event_type,
-            NULL AS event_timestamp, planned_pickup, planned_delivery, CAST(NULL AS VARCHAR) AS problem FROM planned
-            UNION ALL SELECT 'delivery_events', parcel_id, event_id, event_type, event_timestamp, NULL, NULL, NULL FROM ev"""),
+            NULL AS event_timestamp, hub_id, planned_pickup, planned_delivery, CAST(NULL AS VARCHAR) AS problem FROM planned
+            UNION ALL SELECT 'delivery_events', parcel_id, event_id, event_type, event_timestamp, hub_id, NULL, NULL, NULL FROM ev"""),
         "stream_timeline": _q("ev", sql=_TIMELINE),
         "stream_golden_record": _q(g, sql=f"SELECT {_STATE_COLUMNS} FROM golden"),
         "stream_alerts": _q("al", sql="SELECT * FROM al"),
         "stream_dead_letters": _q("ev", "planned", sql=_DEAD),
         "stream_kpi": _q(g, sql=_KPI),
+        "stream_event_time": _q(g, sql=f"SELECT {_STATE_COLUMNS} FROM golden"),
+        "stream_named_query": _q(g, sql=_LATE_NORMALISED),
     }

@@ -71,7 +71,7 @@ def run_tower(spark, source, out, **options):
 
 def check(tables, messages, bad=0):
     expected, alerts, unknown = simulate.run(messages)
-    assert state_rows(tables.state()) == expected
+    assert state_rows(tables.state) == expected
     assert alert_rows(tables.alerts) == sorted(map(str, alerts))
     reasons = Counter(r[0] for r in tables.errors.select("error_reason").collect())
     assert reasons["unknown_parcel"] == len(unknown)
@@ -107,7 +107,7 @@ def test_interleaved_topics_over_several_batches_and_a_restart(spark, folder):
     tower.compact(tables, through=1)
     check(tables, messages, bad=len(BAD))
     last = tables.kpis.orderBy(F.col("batch_id").desc()).first()
-    assert last["total_parcels"] == tables.state().count()
+    assert last["total_parcels"] == tables.state.count()
 
 
 def test_one_file_gives_the_same_result(spark, folder):
@@ -133,7 +133,7 @@ def test_late_events_are_ignored_in_event_time_order(spark, folder):
     tables = run_tower(spark, f"{folder}/in", f"{folder}/out", order_by=tower.EVENT_TIME)
     plan, events = frames(spark, messages)
     expected = golden.golden_record(golden.fold_plan(plan, ("seq",)), events)
-    assert state_rows(tables.state()) == state_rows(expected)
+    assert state_rows(tables.state) == state_rows(expected)
     _, alerts, _ = simulate.run(messages)
     assert alert_rows(tables.alerts) == sorted(map(str, alerts))
 
@@ -146,7 +146,7 @@ def test_an_unpublished_batch_is_not_read_and_repeating_it_changes_nothing(spark
     tower.write_batch(tables, source, 0)  # published already
     check(tables, messages)
     shutil.move(f"{folder}/out/published/batch_id=0", f"{folder}/marker")
-    assert tables.state().count() == tables.log.count() == 0
+    assert tables.state.count() == tables.log.count() == 0
     tower.write_batch(tables, source, 0)
     check(tables, messages)
 
@@ -196,9 +196,9 @@ def test_plans_that_arrive_after_the_event_times_do_not_reset_the_status(spark,
     for at, topic, payload in ((0, "planned_shipments", plan), (1, "delivery_events", event)):
         publish(spark, [(replayed + at, topic, json.dumps(payload))], f"{folder}/in")
     tables = run_tower(spark, f"{folder}/in", f"{folder}/out", order_by=tower.EVENT_TIME)
-    assert tables.state().first()["status"] == "delivered"
+    assert tables.state.first()["status"] == "delivered"
     publish(spark, [(replayed + 2, "planned_shipments", json.dumps(plan))], f"{folder}/in")
-    assert run_tower(spark, f"{folder}/in", f"{folder}/out", order_by=tower.EVENT_TIME).state().first()[
+    assert run_tower(spark, f"{folder}/in", f"{folder}/out", order_by=tower.EVENT_TIME).state.first()[
         "status"] == "planned"
 
 
@@ -210,7 +210,7 @@ def test_numbers_sent_as_text_are_numbers(spark, folder):
     publish(spark, encoded([("planned_shipments", plan), ("delivery_events", event),
                             ("delivery_events", {**event, "latitude": "north"})]), f"{folder}/in")
     tables = run_tower(spark, f"{folder}/in", f"{folder}/out")
-    assert tables.state().first()["congestion_level"] == 0.5
+    assert tables.state.first()["congestion_level"] == 0.5
     assert [tuple(r) for r in tables.log.select("latitude", "longitude").collect()] == [(1.5, 2.0)]
     assert [r[0] for r in tables.errors.select("error_reason").collect()] == ["bad_number"]
 
