@@ -1,11 +1,18 @@
 """Exact Jaccard join of shingle sets by partitioning the universe.
 
-Two sets link at similarity 0.9, that is if 100 * intersection >= 90 * union. For a pair whose
-smaller set has s shingles the symmetric difference then has at most s / 9. Sets are banded by size.
+A ``Likeness`` states the words of a shingle and the percentage p at which two sets link, that is if
+100 * intersection >= p * union. For a pair whose smaller set has s shingles the symmetric difference
+then has at most s * (100 - p) / p. All bounds follow from p. The query takes three words and 90.
+Sets are banded by size.
 A band deals all shingles into segments by a hash; by the pigeonhole principle a linked pair agrees
 in one of k + 1 segments, or differs by one shingle in a segment that is also indexed with one
 deletion and so counts twice. How many segments get deletions is chosen per band by expected cost.
 
+Below ``SEGMENTS_FROM`` percent the segments would be so small that unrelated sets agree by chance, and
+deletions cost an entry per shingle. There each set is indexed by the prefix of its shingles that every
+linked set has to meet, n - ceil(n * p / 100) + 1 of n, rare ones first. How rare a shingle is comes
+from a sample; any order that all sets share gives the same links.
+
 Each set is indexed in its own band and probes the bands of its possible smaller partners. Sets that
 meet in a bucket are candidates; instead of all pairs of a bucket, each set is first compared with
 the bucket's smallest one, and then only sets of different components are compared, which loses no
@@ -13,12 +20,13 @@ component. Candidates are filtered by a parity sketch, whose distance never exce
 difference, and verified on the texts.
 
 Equal sets are one class throughout. Defined cases: a null or empty text has no shingles and links
-with nothing, a text of fewer than three words is one shingle, a null doc_id never names a component
+with nothing, a text of fewer words than a shingle is one shingle, a null doc_id never names a component
 while another id does, repeated rows get repeated results, an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from hashlib import blake2b
 from typing import NamedTuple
 
@@ -31,12 +39,13 @@ from parceltide.llm.components import components
 
 SPACES = b" \t\n\x0b\x0c\r"
 _IN_WORD = common.byte_mask(SPACES)
-SHINGLE = 3
 BAND_RATIO = 1.5
-LEAST_SIZE = 9  # smaller sets link only if they are equal
-PARITY_LONGS = 8
+PARITY_LONGS = 8  # at 90 percent; more for lower thresholds, whose pairs differ more
 SHARED = 0.05  # chance that a shingle of one set is in an unrelated one, as boilerplate makes it
 PAIR_COST = 4.0  # of a candidate pair, in index entries
+SEGMENTS_FROM = 90
+SAMPLE_TEXTS = 4000
+MOST_FREQUENT = 50_000
 _SEEN = 100_000
 RUNTIME_FILTER = {
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
@@ -50,6 +59,27 @@ RUNTIME_FILTER = {
 EXACT, OWN = 1, 2
 
 
+class Likeness(NamedTuple):
+    words: int  # of a shingle, one at least
+    percent: int  # similarity that links, 1 to 99
+
+    @property
+    def least_size(self) -> int:
+        """Smaller sets link only if they are equal."""
+        return -(-self.percent // (100 - self.percent))
+
+    def most_apart(self, size: int) -> int:
+        """Symmetric difference of a linked pair whose smaller set has ``size`` shingles."""
+        return size * (100 - self.percent) // self.percent
+
+    @property
+    def parity_longs(self) -> int:
+        return PARITY_LONGS * -(-19 * (100 - self.percent) // (100 + self.percent))
+
+
+QUERY = Likeness(3, 90)
+
+
 class Band(NamedTuple):
     number: int
     low: int
@@ -58,8 +88,8 @@ class Band(NamedTuple):
     deletions: int  # the last so many segments are also indexed with one deletion
 
 
-def band_edges(largest: int) -> list[tuple[int, int]]:
-    edges, low = [], LEAST_SIZE
+def band_edges(largest: int, like: Likeness = QUERY) -> list[tuple[int, int]]:
+    edges, low = [], like.least_size
     while low <= largest:
         high = max(low, int(low * BAND_RATIO) - 1)
         edges.append((low, high))
@@ -67,9 +97,9 @@ def band_edges(largest: int) -> list[tuple[int, int]]:
     return edges
 
 
-def allocate(number: int, low: int, high: int, sets: int) -> Band:
+def allocate(number: int, low: int, high: int, sets: int, like: Likeness = QUERY) -> Band:
     """The cheapest split of the k + 1 needed agreements over plain and one-deletion segments."""
-    need = high // 9 + 1
+    need = like.most_apart(high) + 1
     best = None
     for doubled in range(need // 2 + 1):
         segments = need - doubled
@@ -81,28 +111,33 @@ def allocate(number: int, low: int, high: int, sets: int) -> Band:
     return best[1]
 
 
-def shingles(raw: bytes) -> np.ndarray:
+def shingles(raw: bytes, like: Likeness = QUERY) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
     words = common.word_hashes(raw.lower(), _IN_WORD)
     if not len(words):
         return words
     with np.errstate(over="ignore"):
-        if len(words) < SHINGLE:
+        if len(words) < like.words:
             value = np.uint64(len(words))
             for w in words:
                 value = common.mix64(np.array([value ^ w], dtype=np.uint64))[0] * np.uint64(3)
             return np.array([value], dtype=np.uint64)
-        out = common.mix64(words[:-2] + np.uint64(0x9E3779B97F4A7C15))
-        out = common.mix64(out ^ (words[1:-1] * np.uint64(0xD6E8FEB86659FD93)))
-        return np.unique(common.mix64(out + words[2:] * np.uint64(0xBF58476D1CE4E5B9)))
+        n = len(words) - like.words + 1
+        out = common.mix64(words[:n] + np.uint64(0x9E3779B97F4A7C15))
+        for at in range(1, like.words):
+            word = words[at:at + n]
+            out = common.mix64(out ^ (word * np.uint64(0xD6E8FEB86659FD93)) if at % 2 else
+                               out + word * np.uint64(0xBF58476D1CE4E5B9))
+        return np.unique(out)
 
 
 def set_key(found: np.ndarray) -> bytes:
     return blake2b(found.tobytes(), digest_size=16).digest()
 
 
-def parity(found: np.ndarray) -> np.ndarray:
-    bits = np.bincount((found % np.uint64(64 * PARITY_LONGS)).astype(np.int64), minlength=64 * PARITY_LONGS) & 1
+def parity(found: np.ndarray, like: Likeness = QUERY) -> np.ndarray:
+    n = 64 * like.parity_longs
+    bits = np.bincount((found % np.uint64(n)).astype(np.int64), minlength=n) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
@@ -113,14 +148,14 @@ def short_id(key: bytes) -> int:
 # --- index -----------------------------------------------------------------------------------
 
 
-def entries(found: np.ndarray, bands: list[Band]) -> tuple[np.ndarray, np.ndarray]:
+def entries(found: np.ndarray, bands: list[Band], like: Likeness = QUERY) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and roles of a set: in its own band, and in the bands of smaller partners."""
     size = len(found)
     buckets, roles = [], []
     for band in bands:
         if band.low <= size <= band.high:
             own = OWN
-        elif band.high < size and 9 * size <= 10 * band.high:
+        elif band.high < size and like.percent * size <= 100 * band.high:
             own = 0
         else:
             continue
@@ -144,31 +179,61 @@ def entries(found: np.ndarray, bands: list[Band]) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(buckets), np.concatenate(roles)
 
 
+def prefix_entries(found: np.ndarray, frequent: np.ndarray, counts: np.ndarray, like: Likeness
+                   ) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and roles of a set by its rarest shingles. ``frequent`` is sorted, ``counts`` goes with it."""
+    seen = np.zeros(len(found), dtype=np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
+        seen = np.where(frequent[at] == found, counts[at], 0)
+    taken = len(found) - -(-like.percent * len(found) // 100) + 1
+    buckets = found[np.lexsort((found, seen))[:taken]]
+    return buckets, np.full(len(buckets), EXACT | OWN, dtype=np.int8)
+
+
+def frequent_shingles(docs: DataFrame, like: Likeness, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of shingles that several of about ``SAMPLE_TEXTS`` texts have."""
+    text = common.text_or_empty()
+    sample = docs.select(text.cast("binary").alias("text")).filter(
+        F.pmod(F.xxhash64(text), F.lit(max(1, texts // SAMPLE_TEXTS))) == 0).distinct()
+
+    def made(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingles(x.as_py(), like) for x in batch.column(0)]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["shingle"])
+
+    rows = common.per_batch(sample, made, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n")).filter(
+        "n > 2").orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).collect()
+    hashes = np.array([r["shingle"] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.array([r["n"] for r in rows], dtype=np.int64)[order]
+
+
 def _may_link(a: str, b: str) -> Column:
     """One of the two in its own band, and not both with a deletion."""
     either = F.col(a).bitwiseOR(F.col(b))
     return either.bitwiseAND(F.lit(EXACT | OWN)) == (EXACT | OWN)
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, like: Likeness) -> DataFrame:
     """doc_id, t (hash of the text), n_shingles, key, sid and parity per row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(common.text_or_empty()).alias("t"),
                        common.text_or_empty().cast("binary").alias("text"))
 
     def made(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingles(x.as_py()) for x in batch.column(2)]
+        found = [shingles(x.as_py(), like) for x in batch.column(2)]
         keys = [set_key(x) if len(x) else None for x in found]
         return pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int64()),
             pa.array(keys, pa.binary()), pa.array([short_id(k) if k else None for k in keys], pa.int64()),
-            pa.array([parity(x).tolist() if len(x) >= LEAST_SIZE else None for x in found], pa.list_(pa.int64())),
+            pa.array([parity(x, like).tolist() if len(x) >= like.least_size else None for x in found], pa.list_(pa.int64())),
         ], ["doc_id", "t", "n_shingles", "key", "sid", "parity"])
 
     return common.per_batch(
         rows, made, "doc_id bigint, t bigint, n_shingles bigint, key binary, sid bigint, parity array<bigint>")
 
 
-def index_entries(docs: DataFrame, bands: list[Band]) -> DataFrame:
+def index_entries(docs: DataFrame, entries_of: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]],
+                  like: Likeness) -> DataFrame:
     """(bucket, sid, role). A task writes the entries of a set once, however many copies it reads."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(common.ARROW_ROWS))
     rows = docs.select(common.text_or_empty().cast("binary").alias("text"))
@@ -178,15 +243,15 @@ def index_entries(docs: DataFrame, bands: list[Band]) -> DataFrame:
         for batch in batches:
             buckets, sids, roles = [], [], []
             for text in batch.column(0):
-                found = shingles(text.as_py())
-                if len(found) < LEAST_SIZE:
+                found = shingles(text.as_py(), like)
+                if len(found) < like.least_size:
                     continue
                 sid = short_id(set_key(found))
                 if sid in seen:
                     continue
                 if len(seen) < _SEEN:  # beyond that copies cost entries, not correctness
                     seen.add(sid)
-                bucket, role = entries(found, bands)
+                bucket, role = entries_of(found)
                 buckets.append(bucket.view(np.int64))
                 roles.append(role)
                 sids.append(np.full(len(bucket), sid, dtype=np.int64))
@@ -201,15 +266,16 @@ def index_entries(docs: DataFrame, bands: list[Band]) -> DataFrame:
 # --- candidates and verification -------------------------------------------------------------
 
 
-def _close(x: str, y: str) -> Column:
+def _close(x: str, y: str, like: Likeness) -> Column:
     """What sizes and sketches leave possible; columns n_*, p_* of both sides."""
     apart = sum((F.bit_count(F.get(f"p_{x}", F.lit(i)).bitwiseXOR(F.get(f"p_{y}", F.lit(i))))
-                 for i in range(PARITY_LONGS)), F.lit(0))
+                 for i in range(like.parity_longs)), F.lit(0))
     small, large = F.least(f"n_{x}", f"n_{y}"), F.greatest(f"n_{x}", f"n_{y}")
-    return (small * 100 >= large * 90) & (apart * 19 <= F.col(f"n_{x}") + F.col(f"n_{y}"))
+    both = F.col(f"n_{x}") + F.col(f"n_{y}")
+    return (small * 100 >= large * like.percent) & (apart * (100 + like.percent) <= both * (100 - like.percent))
 
 
-def texts_of(near: DataFrame, docs: DataFrame) -> DataFrame:
+def texts_of(near: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
     """(key, text) of the classes in ``near``, each from the one row that stands for it.
 
     Spark's runtime filter drops the other rows before their texts are shuffled. Its Bloom filter has
@@ -223,24 +289,25 @@ def texts_of(near: DataFrame, docs: DataFrame) -> DataFrame:
         "close-places")
     doc_id, text = F.col("doc_id").cast("bigint"), common.text_or_empty()
     rows = docs.select(text.alias("text"), *_identity(doc_id.isNull(), doc_id, F.xxhash64(text)))
-    return rows.join(places.filter(F.col("n") >= LEAST_SIZE), ["h1", "h2"]).select("key", "text").dropDuplicates(["key"])
+    places = places.filter(F.col("n") >= like.least_size)
+    return rows.join(places, ["h1", "h2"]).select("key", "text").dropDuplicates(["key"])
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
     """The linked ones of ``pairs(x, y)`` of short ids, as links (a, b) of keys."""
     side = lambda n: classes.select(
         F.col("sid").alias(n), F.col("key").alias(f"key_{n}"), F.col("n_shingles").alias(f"n_{n}"),
         F.col("parity").alias(f"p_{n}"), F.col("place").alias(f"place_{n}"))
     near = common.written(
-        pairs.join(side("x"), "x").join(side("y"), "y").filter(_close("x", "y"))
+        pairs.join(side("x"), "x").join(side("y"), "y").filter(_close("x", "y", like))
         .select("key_x", "key_y", *(c for n in "xy" for c in (f"place_{n}", f"n_{n}"))), "close-pairs")
-    held = common.written(texts_of(near, docs), "close-texts")
+    held = common.written(texts_of(near, docs, like), "close-texts")
     both = near.select("key_x", "key_y").join(
         held.select(F.col("key").alias("key_x"), F.col("text").cast("binary").alias("text_x")), "key_x").join(
         held.select(F.col("key").alias("key_y"), F.col("text").cast("binary").alias("text_y")), "key_y")
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
-        linked = [links(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+        linked = [links(x.as_py(), y.as_py(), like) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
         mask = pa.array(linked, pa.bool_())
         return pa.RecordBatch.from_arrays(
             [batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
@@ -248,44 +315,51 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     return common.per_batch(both.select("key_x", "key_y", "text_x", "text_y"), check, "a binary, b binary")
 
 
-def word_shingles(raw: bytes) -> set[tuple[bytes, ...]]:
+def word_shingles(raw: bytes, like: Likeness = QUERY) -> set[tuple[bytes, ...]]:
     words = raw.lower().split()  # bytes split at exactly the six characters of SPACES
     if not words:
         return set()
-    if len(words) < SHINGLE:
+    if len(words) < like.words:
         return {tuple(words)}
-    return set(zip(words, words[1:], words[2:], strict=False))
+    return set(zip(*(words[at:] for at in range(like.words)), strict=False))
 
 
-def links(x: bytes, y: bytes) -> bool:
-    a, b = word_shingles(x), word_shingles(y)
+def links(x: bytes, y: bytes, like: Likeness = QUERY) -> bool:
+    a, b = word_shingles(x, like), word_shingles(y, like)
     shared = len(a & b)
-    return bool(a and b) and 100 * shared >= 90 * (len(a) + len(b) - shared)
+    return bool(a and b) and 100 * shared >= like.percent * (len(a) + len(b) - shared)
 
 
-def join_components(docs: DataFrame) -> DataFrame:
+def allocated(classes: DataFrame, like: Likeness) -> list[Band]:
+    largest = classes.agg(F.max("n_shingles")).first()[0] or 0
+    edges = band_edges(largest, like)
+    band = F.size(F.filter(F.array(*(F.lit(low) for low, _ in edges)) if edges else F.array().cast("array<int>"),
+                           lambda low: low <= F.col("n_shingles")))
+    counts = {r["band"]: r["n"] for r in classes.groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()}
+    return [allocate(i, low, high, counts.get(i + 1, 0), like) for i, (low, high) in enumerate(edges)]
+
+
+def join_components(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
     """doc_id, n_shingles, component_id, group (a key of the component) and place (what tells the row)
     per row of ``docs``."""
-    sets = common.written(sets_of(docs), "shingle-sets")
+    sets = common.written(sets_of(docs, like), "shingle-sets")
     classes = common.written(
         sets.filter("key IS NOT NULL").groupBy("key").agg(
             F.first("sid").alias("sid"), F.first("n_shingles").alias("n_shingles"),
             F.first("parity").alias("parity"), F.min("doc_id").alias("least"),
             F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "t")).alias("place")), "classes")
-    largest = classes.agg(F.max("n_shingles")).first()[0] or 0
-    edges = band_edges(largest)
-    band = F.size(F.filter(F.array(*(F.lit(low) for low, _ in edges)) if edges else F.array().cast("array<int>"),
-                           lambda low: low <= F.col("n_shingles")))
-    counts = {r["band"]: r["n"] for r in classes.groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()}
-    bands = [allocate(i, low, high, counts.get(i + 1, 0)) for i, (low, high) in enumerate(edges)]
-
-    index = index_entries(docs, bands)
+    if like.percent < SEGMENTS_FROM:
+        frequent, counts = frequent_shingles(docs, like, classes.count())
+        index = index_entries(docs, lambda found: prefix_entries(found, frequent, counts, like), like)
+    else:
+        bands = allocated(classes, like)
+        index = index_entries(docs, lambda found: entries(found, bands, like), like)
     shared = index.groupBy("bucket").agg(F.min("sid").alias("hub"), F.max("sid").alias("last")).filter(
         "hub <> last").select("bucket", "hub")
     members = common.written(
         index.join(shared, "bucket").select("bucket", "hub", "sid", "role").distinct(), "buckets")
     pairs = members.filter("sid <> hub").select(F.col("hub").alias("x"), F.col("sid").alias("y")).distinct()
-    stars = common.written(verified(pairs, classes, docs), "links")
+    stars = common.written(verified(pairs, classes, docs, like), "links")
 
     first = components(stars)
     ids = classes.select("key", "sid", "n_shingles", "parity").join(
@@ -302,9 +376,9 @@ def join_components(docs: DataFrame) -> DataFrame:
     others = unsettled.filter("sid <> hub").select("bucket", *side("o"))
     # The sketches are compared within the join, so a bucket emits only pairs that may link.
     rest = strays.join(others, (strays["bucket"] == others["bucket"]) & (F.col("component_s") != F.col("component_o"))
-                       & _may_link("role_s", "role_o") & _close("s", "o")).select(
+                       & _may_link("role_s", "role_o") & _close("s", "o", like)).select(
         F.least("s", "o").alias("x"), F.greatest("s", "o").alias("y")).distinct()
-    late = common.written(verified(rest, classes, docs), "links")
+    late = common.written(verified(rest, classes, docs, like), "links")
     last = components(stars.unionByName(late)) if late.head(1) else first
 
     named = classes.select("key", "least").join(last, F.col("key") == F.col("node"), "left").withColumn(
@@ -321,11 +395,11 @@ def _identity(absent: Column, doc_id: Column, t: Column) -> list[Column]:
     return [F.xxhash64(absent, doc_id, t).alias("h1"), F.xxhash64(F.lit(1), absent, doc_id, t).alias("h2")]
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
     """One row of ``docs`` per component, that of the smallest doc_id, with all columns. Rows without
     shingles belong to no group and stay."""
     blank = ~F.rlike(common.text_or_empty(), F.lit(r"[^\x20\x09-\x0D]"))
-    sets = join_components(docs.filter(~blank))
+    sets = join_components(docs.filter(~blank), like)
     kept = sets.groupBy(F.col("group")).agg(F.min("place").alias("place")).select(
         *_identity(F.col("place.absent"), F.col("place.doc_id"), F.col("place.t")))
     names = docs.columns

@@ -161,6 +161,60 @@ def test_one_of_each(odd_docs):
         [(False, d) for d in (1, 4, 5, 6, 8, 9, -1)] + [(True, 0)])
 
 
+def test_one_of_each_takes_a_likeness(spark, sf_dir):
+    """Five words and 0.8: near copies that three words and 0.9 do not link."""
+    rng = np.random.default_rng(4)
+    like = corpus_pipeline.NEAR
+    assert like == (5, 80)
+    rows = [(r["doc_id"], r["text"]) for r in documents(spark, sf_dir).collect()]
+    for at in range(60):
+        n = int(rng.integers(4, 400))
+        words = [f"p{at}w{i}" for i in range(n)]
+        edited = list(words)
+        for i in rng.integers(0, n, max(1, n // 50)):
+            edited[i] = "other"
+        longer = words + [f"p{at}x{i}" for i in range(int(rng.integers(1, n // 3 + 2)))]
+        rows += [(10_000 + 3 * at + k, " ".join(w)) for k, w in enumerate((words, edited, longer))]
+    rows += [(20_000, " ".join(f"l{i}" for i in range(1000))), (20_001, " ".join(f"l{i}" for i in range(1150)))]
+    sets = [op4.word_shingles((t or "").encode(), like) for _, t in rows]
+    group, holders = list(range(len(rows))), defaultdict(list)
+    for i, found in enumerate(sets):
+        for j, n in Counter(j for g in found for j in holders[g]).items():
+            if 100 * n >= 80 * (len(found) + len(sets[j]) - n):
+                group = [group[i] if g == group[j] else g for g in group]
+        for g in found:
+            holders[g].append(i)
+    want = {min(rows[j][0] for j in range(len(rows)) if group[j] == g) for g in set(group)}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()]
+    assert sorted(got) == sorted(want) and 20_000 in want and 20_001 not in want
+    assert {20_000, 20_001} < {r["doc_id"] for r in op4.one_of_each(docs).collect()}
+
+
+def test_no_linked_pair_at_a_lower_threshold_misses_a_bucket():
+    rng = np.random.default_rng(5)
+    like = op4.Likeness(5, 80)
+    assert (like.least_size, like.most_apart(100), op4.QUERY.least_size) == (4, 25, 9)
+    for sets in (10, 100_000):
+        bands = [op4.allocate(i, low, high, sets, like) for i, (low, high) in enumerate(op4.band_edges(400, like))]
+        for size in (4, 5, 6, 9, 20, 37, 90, 200):
+            for _ in range(20):
+                y = np.unique(rng.integers(1, 1 << 62, size, dtype=np.uint64))
+                x = np.delete(y, rng.permutation(size)[:size // 5])
+                z = np.concatenate((np.delete(y, rng.permutation(size)[:size // 9]),
+                                    rng.integers(1, 1 << 62, size // 9, dtype=np.uint64)))
+                for other in (x, np.unique(z)):
+                    shared = len(np.intersect1d(other, y))
+                    if 100 * shared < 80 * (len(other) + len(y) - shared):
+                        continue
+                    frequent = np.sort(y[::3])
+                    met = [op4.prefix_entries(v, frequent, np.arange(len(frequent)), like)[0] for v in (other, y)]
+                    assert len(np.intersect1d(*met)), size
+                    (bx, rx), (by, ry) = op4.entries(other, bands, like), op4.entries(y, bands, like)
+                    assert any((p | q) & 3 == 3 for a, p in zip(bx.tolist(), rx.tolist(), strict=True)
+                               for b, q in zip(by.tolist(), ry.tolist(), strict=True) if a == b), (sets, size)
+
+
 def _text(docs, doc_id):
     return docs.filter(F.col("doc_id") == doc_id).first()["text"]
 
