@@ -343,6 +343,23 @@ def test_extraction(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+def test_shared_lines_decide_inside_articles(spark):
+    notice = "<div>We have moved to a new address</div>"
+    page = "<nav>Menu</nav><main>" + notice + "<p>{}</p><p>{}</p></main>"
+    body = ["one body of some length, number {0}, and no other page has {0}".format(i) for i in range(5)]
+    passage = "a passage that two of the articles share, which is their text"
+    rows = [(i, f"http://h/a/{i}", page.format(t, passage if i < 2 else f"end {i}")) for i, t in enumerate(body)]
+    rows += [(10 + i, f"http://copies/{i}", page.format(body[0], passage)) for i in range(4)]
+    rows += [(20 + i, f"http://two/{i}", page.format(body[i], "end")) for i in range(2)]
+    got = {r["page_id"]: r["text"] for r in op10.extract(
+        spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    want = {i: f"{t} {passage if i < 2 else f'end {i}'}" for i, t in enumerate(body)}
+    whole = "We have moved to a new address "
+    want |= {10 + i: f"{whole}{body[0]} {passage}" for i in range(4)}  # copies keep their text
+    want |= {20 + i: f"{whole}{body[i]} end" for i in range(2)}  # two pages are no evidence
+    assert got == want
+
+
 def test_common_subsequence():
     def plain(a, b):
         best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
