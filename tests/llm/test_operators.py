@@ -360,6 +360,25 @@ def test_shared_lines_decide_inside_articles(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("wrapper", [
+    "div class='content-sidebar-wrap'", "div class='site no-sidebar'", "div class='layout has-sidebar'", "form", "div class='header'"])
+def test_articles_inside_named_wrappers_are_text(wrapper):
+    def text(html):
+        return op10.main_text(op10.page_lines(html), None)
+
+    end = wrapper.split()[0]
+    for tag in ("article", "main"):
+        body = f"<{tag}><p>The text</p><div class='comments'><article>me too</article></div></{tag}>"
+        aside = "<div class='sidebar'>links<article>teaser</article></div><div class='related'><article>other</article></div>"
+        for page in (f"<{wrapper}>menu {body}</{end}><nav>x</nav>", f"<{wrapper}><p>lead</p>{body}<nav>x</nav></{end}>"):
+            assert text(page) == "The text"
+        if end == "div" and "header" not in wrapper:
+            assert text(f"<{wrapper}>{body}{aside}</{end}>") == "The text"
+    if wrapper != "div class='header'":  # most of a page without articles
+        assert text(f"<p>few</p><{wrapper}><p>Most of the page</p><div class='sidebar'>x</div></{end}>") == "few Most of the page"
+        assert text(f"<p>Most of the page</p><{wrapper}><p>few</p></{end}>") == "Most of the page"
+
+
 def test_common_subsequence():
     def plain(a, b):
         best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
