@@ -1,13 +1,19 @@
 """Signature rules of the license scan.
 
 Patterns are written over normalised text: lower-case words joined by one space. A rule is tried
-only if all its keywords occur as words. Rules of one license differ by the phrase around the name,
+only if all its keywords occur as words, so each has to be a word of every text that the pattern
+matches; this is checked on the parsed pattern. Rules of one license differ by the phrase around the name,
 so they come from templates; whole-sentence signatures are written out.
 """
 
 from __future__ import annotations
 
 import re
+import re._constants as sre
+import re._parser as sre_parser
+from collections.abc import Iterable
+from functools import cache
+from itertools import product
 from typing import NamedTuple
 
 
@@ -98,7 +104,8 @@ LICENSES = [
     ("odc-by-1.0", "commons attribution", r"open data commons attribution licen[sc]e", "odc by 1 0", "opendatacommons org licenses by"),
     ("pddl-1.0", "domain dedication", r"public domain dedication and licen[sc]e", "pddl 1 0", "opendatacommons org licenses pddl"),
     ("ofl-1.1", "sil", r"sil open font licen[sc]e", "ofl 1 1", "scripts sil org ofl"),
-    ("psf-2.0", "python", r"(?:python software foundation|psf) licen[sc]e", "psf 2 0", ""),
+    ("psf-2.0", "python", r"python software foundation licen[sc]e", "psf 2 0", ""),
+    ("psf-2.0", "psf", r"psf licen[sc]e", "", ""),
     ("postgresql", "postgresql", r"postgresql licen[sc]e", "postgresql", ""),
     ("php-3.01", "php", r"php licen[sc]e", "php 3 01", "php net license"),
     ("ruby", "ruby", r"ruby licen[sc]e", "ruby", ""),
@@ -165,8 +172,9 @@ TEXTS = [
     ("copyright", "rights reserved", r"all rights reserved"),
     ("proprietary", "proprietary confidential", r"proprietary and confidential"),
     ("proprietary", "unauthorized copying", r"unauthorized copying of this (?:file|software|document)"),
-    ("proprietary", "prior written", r"without (?:the )?(?:express |prior )*written (?:permission|consent) of"),
-    ("no-commercial", "commercial purposes", r"for non ?commercial (?:use|purposes) only"),
+    ("proprietary", "without written", r"without (?:the )?(?:express |prior )*written (?:permission|consent) of"),
+    ("no-commercial", "non commercial", r"for non commercial (?:use|purposes) only"),
+    ("no-commercial", "noncommercial", r"for noncommercial (?:use|purposes) only"),
     ("no-commercial", "commercial use", r"not for commercial use"),
     ("no-derivatives", "derivative works", r"no derivative works"),
     ("share-alike", "share alike", r"share alike"),
@@ -179,6 +187,39 @@ TEXTS = [
 ]
 
 
+_UNKNOWN = "\0"  # text that the pattern does not spell out
+
+
+def forms(parsed: Iterable[tuple]) -> set[str]:
+    """The texts a parsed pattern matches, with ``_UNKNOWN`` for what is open; a part that may repeat
+    stands as often as it must and once more."""
+    found = {""}
+    for kind, value in parsed:
+        if kind is sre.LITERAL:
+            part = {chr(value)}
+        elif kind is sre.SUBPATTERN:
+            part = forms(value[-1])
+        elif kind is sre.BRANCH:
+            part = set().union(*map(forms, value[1]))
+        elif kind is sre.IN and all(k is sre.LITERAL for k, _ in value):
+            part = {chr(c) for _, c in value}
+        elif kind is sre.MAX_REPEAT:
+            low, high, body = value
+            part = {"".join(p) for n in {low, min(low + 1, high)} for p in product(forms(body), repeat=n)}
+        else:
+            part = {_UNKNOWN}
+        found = {a + b for a in found for b in part}
+    return found
+
+
+@cache
+def required_words(pattern: str) -> frozenset[str]:
+    """The words that every text has that ``pattern`` matches."""
+    return frozenset.intersection(*(
+        frozenset(w for w in text.split(" ") if w and _UNKNOWN not in w)
+        for text in forms(sre_parser.parse(pattern))))
+
+
 def _rule(label: str, priority: int, weight: float, keywords: str, pattern: str) -> Rule:
     gate = frozenset(w.encode() for w in keywords.split())
     return Rule(label, priority, weight, gate,
@@ -187,8 +228,10 @@ def _rule(label: str, priority: int, weight: float, keywords: str, pattern: str)
 
 def build_rules() -> list[Rule]:
     """Rules in order: whole sentences, identifiers, grants, addresses, bare names."""
+    for words, pattern in [r[1:3] for r in (*TEXTS, *LICENSES)]:
+        _require(words, pattern)
     rules = [_rule(label, 0, 1.0 if "-disclaimer" not in label else 0.4, words, text)
-             for label, words, text in TEXTS if _sound(words, text)]
+             for label, words, text in TEXTS]
     for label, words, name, spdx, web in LICENSES:
         if spdx:
             rules.append(_rule(label, 1, 1.0, f"spdx {spdx}",
@@ -202,9 +245,9 @@ def build_rules() -> list[Rule]:
     return rules
 
 
-def _sound(words: str, text: str) -> bool:
-    """A sentence is gated only by words it spells out."""
-    missing = [w for w in words.split() if not re.search(rf"\b{w}\b", text)]
-    if missing:
-        raise ValueError(f"keywords {missing} are not in {text!r}")
-    return True
+def _require(words: str, pattern: str) -> None:
+    """A pattern is gated only by words that each of its matches has. A grant ends in a space, so
+    what holds for a name holds after a grant."""
+    missing = set(words.split()) - required_words(pattern)
+    if missing or not words:
+        raise ValueError(f"keywords {sorted(missing)} are not in every match of {pattern!r}")

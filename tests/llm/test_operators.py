@@ -13,7 +13,7 @@ import corpus_pipeline
 from parceltide.llm import (
     op1_licenses as op1, op2_secrets as op2, op3_neighbours as op3, op4_jaccard as op4, op5_mixing as op5,
     op6_decontaminate as op6, op7_shards as op7, op8_warc as op8, op9_toxicity as op9, op10_extract as op10,
-    common, registry)
+    common, license_rules as rules_of_licenses, registry)
 
 
 def documents(spark, sf_dir):
@@ -56,6 +56,26 @@ def test_license_suppression():
     assert scan(b"mit Lizenz")[5] == ""
 
 
+def test_license_gate_loses_no_match():
+    rules = rules_of_licenses.build_rules()
+    gated = op1.Scanner(rules)
+    for text, label in (("without express written consent of the owner", "proprietary"),
+                        ("for non commercial use only", "no-commercial"), ("PSF License", "psf-2.0"),
+                        ("for noncommercial purposes only", "no-commercial"),
+                        ("released under the PSF licence", "psf-2.0")):
+        assert gated.scan(text.encode())[5] == label, text
+    texts = set()
+    for pattern in {r[2] for r in (*rules_of_licenses.TEXTS, *rules_of_licenses.LICENSES)}:
+        for form in rules_of_licenses.forms(re._parser.parse(pattern)):
+            form = form.replace("\0", "7")
+            texts |= {form, f"licensed under the {form}"}
+    for rule in rules:  # with the gate off a rule is tried on every text
+        for text in texts:
+            assert rule.keywords <= set(text.encode().split()) or not rule.pattern.search(text.encode()), (rule, text)
+    with pytest.raises(ValueError, match="prior"):
+        rules_of_licenses._require("prior written", r"without (?:prior )*written consent")
+
+
 # --- 2: secrets ------------------------------------------------------------------------------
 
 
