@@ -6,13 +6,15 @@ the test items is hashed under each mask. The items are taken in blocks of at mo
 their windows hashed alike and looked up. Around a hit the text is laid beside the item without
 gaps, and the stretch with the best score (match +1, substitution -``PENALTY``) is the overlap. A
 text is contaminated by an item if the overlap has ``LEAST_MATCHES`` equal words, or
-``LEAST_COVERAGE`` of a shorter item.
+``LEAST_COVERAGE`` of a shorter item. Of such an item the best stretch may miss words beyond a
+changed one, so there all words laid beside it count. Items too short for the masks get their own:
+the whole item, and the item without each single word.
 
 Words are lower-cased runs of letters, digits and everything outside ASCII, so changes of case,
 punctuation and white space do not matter.
 
 Defined cases: null texts are empty and match nothing; items of fewer than ``LEAST_ITEM`` words
-match nothing, items shorter than a mask are matched as a whole; repeated rows and repeated items
+match nothing; repeated rows and repeated items
 give their own rows; an empty table on either side gives no pairs. Columns are kept by position in
 ``clean_documents``, whatever their names.
 """
@@ -20,6 +22,7 @@ give their own rows; an empty table on either side gives no pairs. Columns are k
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -65,14 +68,15 @@ class Block:
     def __init__(self, items: list[tuple[int, bytes]]):
         self.items = [(i, np.frombuffer(w, dtype=np.uint64)) for i, w in items]
         short = sorted({len(w) for _, w in self.items if LEAST_ITEM <= len(w) <= MASKS[0][-1] + 1})
-        self.masks = [*MASKS, *(tuple(range(n)) for n in short if tuple(range(n)) not in MASKS)]
+        own = [(n, mask) for n in short for mask in (tuple(range(n)), *combinations(range(n), n - 1))]
+        self.masks = [*MASKS, *(mask for _, mask in own)]
+        lengths = [None] * len(MASKS) + [n for n, _ in own]  # of the items that a mask is for
         self.places: list[dict[int, list[tuple[int, int]]]] = []
         self.filters = []
-        for at, mask in enumerate(self.masks):
+        for mask, length in zip(self.masks, lengths, strict=True):
             places: dict[int, list[tuple[int, int]]] = {}
             for number, (_, words) in enumerate(self.items):
-                whole = at >= len(MASKS)
-                if len(words) < LEAST_ITEM or whole and len(words) != len(mask):
+                if len(words) < LEAST_ITEM or length is not None and len(words) != length:
                     continue
                 for offset, value in enumerate(window_hashes(words, mask).tolist()):
                     places.setdefault(value, []).append((number, offset))
@@ -99,7 +103,11 @@ class Block:
             equal = words[shift + low:shift + high] == item[low:high]
             first, last = best_stretch(equal)
             matches = int(equal[first:last].sum())
-            if matches >= min(LEAST_MATCHES, LEAST_COVERAGE * len(item)):
+            least = min(LEAST_MATCHES, LEAST_COVERAGE * len(item))
+            if matches < least < LEAST_MATCHES and equal.sum() >= least:
+                first, last = (int(x) for x in np.flatnonzero(equal)[[0, -1]] + (0, 1))
+                matches = int(equal.sum())
+            if matches >= least:
                 found = (matches, -(last - first), hits, -(shift + low + first), -(low + first))
                 best[number] = max(best.get(number, found), found)
         return [(self.items[n][0], hits, m, -length, -start, -at, len(self.items[n][1]))

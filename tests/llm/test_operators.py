@@ -276,6 +276,19 @@ def test_decontamination(spark, odd_docs, no_docs):
     assert op6.contaminated_pairs(docs, items.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("n", [5, 6, 7, 8, 9])
+def test_short_items_with_one_word_changed(n):
+    words = [f"w{i}" for i in range(n)]
+    block = op6.Block([(1, op6.words_of(" ".join(words)).tobytes())])
+    for at in range(n):
+        changed = " ".join([*words[:at], "x", *words[at + 1:]])
+        for text in (changed, f"before {changed} after"):
+            assert [(f[0], f[2], f[6]) for f in block.overlaps(op6.words_of(text))] == [(1, n - 1, n)], (at, text)
+    for gone in ((0, 2), (1, 3), (0, 4)):
+        two = " ".join("x" if i in gone else w for i, w in enumerate(words))
+        assert block.overlaps(op6.words_of(f"before {two} after")) == []
+
+
 def test_blocks_give_the_same_pairs(spark, sf_dir, monkeypatch):
     tables = [common.table(spark, sf_dir, n) for n in ("documents", "benchmark")]
     whole = Counter(map(tuple, op6.contaminated_pairs(*tables).collect()))
