@@ -14,10 +14,14 @@ from parceltide.llm.op6_decontaminate import op6_decontaminate
 from parceltide.llm.op7_shards import op7_shards
 from parceltide.llm.op9_toxicity import op9_toxicity
 from parceltide.llm.op10_extract import op10_extract
+from parceltide.llm.op11_spelling import op11_spelling
+from parceltide.llm.op12_infill import op12_infill
+from parceltide.llm.op13_simhash import op13_simhash
 
 _QUERIES = [
     op1_licenses, op2_secrets, op3_neighbours.op3_neighbours, op4_jaccard, op5_mixing.op5_mixing,
     op6_decontaminate, op7_shards, op8_warc.op8_warc, op9_toxicity, op10_extract,
+    op11_spelling, op12_infill, op13_simhash,
 ]
 
 
