@@ -106,18 +106,19 @@ def moments(classes: DataFrame) -> np.ndarray:
     """How many fingerprints have both of two bits, for all pairs of bits; one matrix a task."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = np.zeros((BITS, BITS))
+        both = np.zeros((BITS, BITS), dtype=np.int64)
         for batch in batches:
             raw = batch.column(0).to_numpy(zero_copy_only=False).astype("<i8")
             for at in range(0, len(raw), SLICE):
                 bits = np.unpackbits(raw[at:at + SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                bits = bits.astype(np.float32)  # a slice's counts are exact in it
-                both += bits.T @ bits
-        yield pa.RecordBatch.from_arrays([pa.array([both.astype(np.int64).ravel().tolist()])], ["both"])
+                having = np.packbits(bits, axis=0).T  # a bit set of fingerprints for each bit
+                for b in range(BITS):
+                    both[b] += np.bitwise_count(having & having[b]).sum(axis=1, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([both.ravel().tolist()])], ["both"])
 
     sums = classes.select("fp").mapInArrow(made, "both array<bigint>").select(F.posexplode("both")).groupBy(
         "pos").agg(F.sum("col").alias("n")).collect()  # 64 x 64 numbers
-    out = np.zeros(BITS * BITS)
+    out = np.zeros(BITS * BITS)  # an empty table has no sums
     for r in sums:
         out[r["pos"]] = r["n"]
     return out.reshape(BITS, BITS)
