@@ -9,10 +9,12 @@ to apart + 1.
 
 A fingerprint is indexed in each used part under its own value and probes the values within the threshold. A
 bucket is what meets on one value. Small buckets are compared pair by pair. In a large one all are compared with
-one hub only; if that leaves several components, the bucket is split again by the remaining bits into apart + 1
-parts, of which a linked pair agrees in one, and so on until no bucket is open. So a large group of near copies
-costs its size times a constant, not its square, and no link between components is lost. Every pair is verified
-on the whole fingerprints; buckets only propose.
+one hub only; if that leaves several components, the bucket stays open. While open buckets hold many fingerprints
+they are split again by the remaining bits into apart + 1 parts, of which a linked pair agrees in one. What few
+fingerprints are left are united by midpoints: two are linked if and only if some value is within half of ``apart``
+of both, so all that share one belong together. So a large group of near copies costs its size times a constant,
+not its square, and no link between components is lost. Pairs that buckets propose are verified on the whole
+fingerprints.
 
 Equal fingerprints are one class throughout. Defined cases: a null or empty text and one without words has the
 fingerprint zero, which links like any other; fewer words than a shingle are one shingle; a null doc_id names a
@@ -30,7 +32,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from parceltide.llm import common
 from parceltide.llm.components import components
@@ -42,6 +44,7 @@ SEED = 42
 SLICE = 1 << 16  # shingles hashed at once
 PAIR_COST = 0.2  # of comparing two fingerprints, in entries
 SMALL = 64  # members of a bucket that is compared pair by pair
+MIDPOINTS = 128  # values around open fingerprints, per fingerprint of the table, up to which they are listed
 
 
 # --- fingerprints ----------------------------------------------------------------------------
@@ -243,9 +246,29 @@ def links_within(sized: DataFrame, apart: int) -> DataFrame:
     return large.select(F.col("hub").alias("a"), F.col("fp").alias("b")).union(pairs.select("a", "b")).distinct()
 
 
+def midpoint_links(members: DataFrame, apart: int) -> DataFrame:
+    """Links (a, b) between the components of ``members(fp, component)`` that hold fingerprints within ``apart``, which
+    is even. A value is within half of that of a bounded number of fingerprints."""
+    masks = np.array([sum(1 << b for b in chosen) for r in range(apart // 2 + 1)
+                      for chosen in combinations(range(BITS), r)], dtype=np.uint64)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                fp = some.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+                middle = (fp[:, None] ^ masks).ravel().view(np.int64)
+                component = np.repeat(some.column(1).to_numpy(zero_copy_only=False), len(masks))
+                yield pa.RecordBatch.from_arrays([pa.array(middle), pa.array(component)], ["middle", "a"])
+
+    around = members.select("fp", "component").mapInArrow(made, "middle bigint, a bigint")
+    chain = Window.partitionBy("middle").orderBy("a")
+    return around.withColumn("b", F.lag("a").over(chain)).filter("a <> b").select("a", "b").distinct()
+
+
 def linked(classes: DataFrame, parts: list[Part], apart: int = APART) -> DataFrame:
     """(node, component) of every fingerprint that has a link."""
-    named = None
+    named, total = None, classes.count()
     buckets = first_buckets(classes, parts)
     while True:
         buckets = common.written(buckets, "buckets")
@@ -269,9 +292,16 @@ def linked(classes: DataFrame, parts: list[Part], apart: int = APART) -> DataFra
             "component", F.coalesce("component", "fp"))
         several = large.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
             "low <> high").select("bucket")
-        open_buckets = common.written(large.join(several, "bucket").select("bucket", "fp", "own", "rest"), "open")
-        if not open_buckets.head(1):
+        open_buckets = common.written(large.join(several, "bucket").select(
+            "bucket", "fp", "own", "rest", "component"), "open")
+        left = open_buckets.select("fp", "component").distinct()
+        count = left.count()
+        if not count:
             return named
+        values = sum(comb(BITS, r) for r in range(apart // 2 + 1))
+        if apart % 2 == 0 and count * values <= MIDPOINTS * total:
+            links = midpoint_links(left, apart).union(named.filter("node <> component"))
+            return components(common.written(links, "near"))
         buckets = split_buckets(open_buckets, apart)
 
 

@@ -238,9 +238,10 @@ def _clouds(seed=5):
     return sorted(found)
 
 
-@pytest.mark.parametrize("small", [2, 64])
-def test_large_buckets_lose_no_link(spark, monkeypatch, small):
+@pytest.mark.parametrize("small,midpoints", [(2, 0), (64, 0), (2, 10_000), (64, 128)])
+def test_large_buckets_lose_no_link(spark, monkeypatch, small, midpoints):
     monkeypatch.setattr(op13, "SMALL", small)
+    monkeypatch.setattr(op13, "MIDPOINTS", midpoints)
     prints = _clouds()
     classes = _classes(spark, prints)
     parts = op13.choose_parts(classes, len(prints))
