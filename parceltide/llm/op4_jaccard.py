@@ -15,9 +15,9 @@ from a sample; any order that all sets share gives the same links.
 
 Each set is indexed in its own band and probes the bands of its possible smaller partners. Sets that
 meet in a bucket are candidates; instead of all pairs of a bucket, each set is first compared with
-the bucket's smallest one, and then only sets of different components are compared, which loses no
-component. Candidates are filtered by a parity sketch, whose distance never exceeds the symmetric
-difference, and verified on the texts.
+the bucket's smallest one, and then only sets of different components are compared, each pair in one of the
+first buckets that it meets in, which loses no component. Candidates are filtered by a parity sketch, whose distance
+never exceeds the symmetric difference, and verified on the texts, the nearest partner of a set first.
 
 Equal sets are one class throughout. Defined cases: a null or empty text has no shingles and links
 with nothing, a text of fewer words than a shingle is one shingle, a null doc_id never names a component
@@ -47,6 +47,7 @@ SEGMENTS_FROM = 90
 SAMPLE_TEXTS = 4000
 MOST_FREQUENT = 50_000
 _SEEN = 100_000
+FIRST_BUCKETS = 8  # of a set's open buckets, those that tell where else a pair meets
 RUNTIME_FILTER = {
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
@@ -266,10 +267,14 @@ def index_entries(docs: DataFrame, entries_of: Callable[[np.ndarray], tuple[np.n
 # --- candidates and verification -------------------------------------------------------------
 
 
+def _sketches_apart(x: str, y: str, like: Likeness) -> Column:
+    return sum((F.bit_count(F.get(f"p_{x}", F.lit(i)).bitwiseXOR(F.get(f"p_{y}", F.lit(i))))
+                for i in range(like.parity_longs)), F.lit(0))
+
+
 def _close(x: str, y: str, like: Likeness) -> Column:
     """What sizes and sketches leave possible; columns n_*, p_* of both sides."""
-    apart = sum((F.bit_count(F.get(f"p_{x}", F.lit(i)).bitwiseXOR(F.get(f"p_{y}", F.lit(i))))
-                 for i in range(like.parity_longs)), F.lit(0))
+    apart = _sketches_apart(x, y, like)
     small, large = F.least(f"n_{x}", f"n_{y}"), F.greatest(f"n_{x}", f"n_{y}")
     both = F.col(f"n_{x}") + F.col(f"n_{y}")
     return (small * 100 >= large * like.percent) & (apart * (100 + like.percent) <= both * (100 - like.percent))
@@ -293,14 +298,18 @@ def texts_of(near: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
     return rows.join(places, ["h1", "h2"]).select("key", "text").dropDuplicates(["key"])
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
-    """The linked ones of ``pairs(x, y)`` of short ids, as links (a, b) of keys."""
+def close_pairs(pairs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """``pairs(x, y)`` of short ids that sizes and sketches leave possible, with keys, places and the
+    distance of the sketches."""
     side = lambda n: classes.select(
         F.col("sid").alias(n), F.col("key").alias(f"key_{n}"), F.col("n_shingles").alias(f"n_{n}"),
         F.col("parity").alias(f"p_{n}"), F.col("place").alias(f"place_{n}"))
-    near = common.written(
-        pairs.join(side("x"), "x").join(side("y"), "y").filter(_close("x", "y", like))
-        .select("key_x", "key_y", *(c for n in "xy" for c in (f"place_{n}", f"n_{n}"))), "close-pairs")
+    return pairs.join(side("x"), "x").join(side("y"), "y").filter(_close("x", "y", like)).select(
+        "key_x", "key_y", *(c for n in "xy" for c in (f"place_{n}", f"n_{n}")), _sketches_apart("x", "y", like).alias("apart"))
+
+
+def verified(near: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
+    """The linked ones of a written table of close pairs, as links (a, b) of keys."""
     held = common.written(texts_of(near, docs, like), "close-texts")
     both = near.select("key_x", "key_y").join(
         held.select(F.col("key").alias("key_x"), F.col("text").cast("binary").alias("text_x")), "key_x").join(
@@ -315,6 +324,35 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, like: Likene
     return common.per_batch(both.select("key_x", "key_y", "text_x", "text_y"), check, "a binary, b binary")
 
 
+def united(near: DataFrame, named: DataFrame | None, docs: DataFrame, like: Likeness) -> DataFrame | None:
+    """(node, component) after the close pairs ``near`` are verified, on top of the components ``named``.
+
+    Each set is first verified against the nearest of its partners only; of the other pairs those are left whose
+    sets are still in different components. So a set that is close to very many others ships few texts, and
+    no link between components is skipped.
+    """
+    nearest = near.groupBy("key_y").agg(F.min(F.struct("apart", "key_x")).alias("best")).select(
+        "key_y", F.col("best.key_x").alias("key_x"))
+    first = common.written(near.join(nearest, ["key_x", "key_y"]), "nearest-pairs")
+    if not first.head(1):
+        return named
+    named = _with_links(named, verified(first, docs, like))
+    component = lambda n: named.select(
+        F.col("node").alias(f"key_{n}"), F.col("component").alias(f"component_{n}"))
+    rest = near.join(first.select("key_x", "key_y"), ["key_x", "key_y"], "left_anti").join(
+        component("x"), "key_x", "left").join(component("y"), "key_y", "left").filter(
+        F.coalesce("component_x", "key_x") != F.coalesce("component_y", "key_y"))
+    rest = common.written(rest.drop("component_x", "component_y"), "other-pairs")
+    return _with_links(named, verified(rest, docs, like)) if rest.head(1) else named
+
+
+def _with_links(named: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Components of new links and of what was united before."""
+    if named is not None:
+        new = new.union(named.filter("node <> component"))
+    return components(common.written(new, "links"))
+
+
 def word_shingles(raw: bytes, like: Likeness = QUERY) -> set[tuple[bytes, ...]]:
     words = raw.lower().split()  # bytes split at exactly the six characters of SPACES
     if not words:
@@ -339,6 +377,40 @@ def allocated(classes: DataFrame, like: Likeness) -> list[Band]:
     return [allocate(i, low, high, counts.get(i + 1, 0), like) for i, (low, high) in enumerate(edges)]
 
 
+def open_pairs(members: DataFrame, classes: DataFrame, named: DataFrame, like: Likeness) -> DataFrame:
+    """Pairs (x, y) that may link within buckets whose sets lie in several components: y is outside the hub's
+    component, x is in any other. The sketches are compared within the join, and a pair that meets in one of the first
+    buckets of both sets comes from the smallest of those only."""
+    ids = classes.select("key", "sid", "n_shingles", "parity").join(
+        named, F.col("key") == F.col("node"), "left").select(
+        "sid", F.coalesce("component", "key").alias("component"), "n_shingles", "parity")
+    placed = members.join(ids.select("sid", "component"), "sid")
+    several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
+        "low <> high").select("bucket")
+    still_open = common.written(members.join(several, "bucket"), "open-buckets")
+    held = still_open.filter(F.col("role") == (EXACT | OWN)).groupBy("sid").agg(
+        F.slice(F.sort_array(F.collect_list("bucket")), 1, FIRST_BUCKETS).alias("first"))  # of the entries it made
+    unsettled = common.written(still_open.join(ids, "sid").join(held, "sid", "left"), "open-sets")
+    hubs = unsettled.filter("sid = hub").select("bucket", F.col("component").alias("hub_component")).distinct()
+    side = lambda n: [F.col("sid").alias(n), F.col("role").alias(f"role_{n}"), F.col("component").alias(
+        f"component_{n}"), F.col("n_shingles").alias(f"n_{n}"), F.col("parity").alias(f"p_{n}"),
+        F.col("first").alias(f"first_{n}")]
+    with_hub = unsettled.join(hubs, "bucket").withColumn("stray", F.col("component") != F.col("hub_component"))
+    strays = with_hub.filter("stray").select(F.col("bucket").alias("bucket_y"), *side("y"))
+    others = with_hub.filter("sid <> hub").select(F.col("bucket").alias("bucket_x"), "stray", *side("x"))
+    once = ~F.col("stray") | (F.col("x") < F.col("y"))  # of two strays one is y
+    # In both sets' first buckets any two sets may link, so the smallest that they share makes the pair.
+    earlier = F.array_min(F.array_intersect("first_x", "first_y")) < F.col("bucket_y")
+    return strays.join(
+        others, (F.col("bucket_x") == F.col("bucket_y")) & (F.col("component_x") != F.col("component_y")) & once
+        & _may_link("role_x", "role_y") & _close("x", "y", like)
+        & ~F.coalesce(earlier, F.lit(False))).select("x", "y").distinct()
+
+
+def _no_components(classes: DataFrame) -> DataFrame:
+    return classes.select(F.col("key").alias("node"), F.col("key").alias("component")).limit(0)
+
+
 def join_components(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
     """doc_id, n_shingles, component_id, group (a key of the component) and place (what tells the row)
     per row of ``docs``."""
@@ -359,27 +431,11 @@ def join_components(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
     members = common.written(
         index.join(shared, "bucket").select("bucket", "hub", "sid", "role").distinct(), "buckets")
     pairs = members.filter("sid <> hub").select(F.col("hub").alias("x"), F.col("sid").alias("y")).distinct()
-    stars = common.written(verified(pairs, classes, docs, like), "links")
-
-    first = components(stars)
-    ids = classes.select("key", "sid", "n_shingles", "parity").join(
-        first, F.col("key") == F.col("node"), "left").select(
-        "sid", F.coalesce("component", "key").alias("component"), "n_shingles", "parity")
-    placed = members.join(ids.select("sid", "component"), "sid")
-    several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
-        "low <> high").select("bucket")
-    unsettled = common.written(members.join(several, "bucket").join(ids, "sid"), "open-buckets")
-    hubs = unsettled.filter("sid = hub").select("bucket", F.col("component").alias("hub_component")).distinct()
-    side = lambda n: [F.col("sid").alias(n), F.col("role").alias(f"role_{n}"), F.col("component").alias(
-        f"component_{n}"), F.col("n_shingles").alias(f"n_{n}"), F.col("parity").alias(f"p_{n}")]
-    strays = unsettled.join(hubs, "bucket").filter("component <> hub_component").select("bucket", *side("s"))
-    others = unsettled.filter("sid <> hub").select("bucket", *side("o"))
-    # The sketches are compared within the join, so a bucket emits only pairs that may link.
-    rest = strays.join(others, (strays["bucket"] == others["bucket"]) & (F.col("component_s") != F.col("component_o"))
-                       & _may_link("role_s", "role_o") & _close("s", "o", like)).select(
-        F.least("s", "o").alias("x"), F.greatest("s", "o").alias("y")).distinct()
-    late = common.written(verified(rest, classes, docs, like), "links")
-    last = components(stars.unionByName(late)) if late.head(1) else first
+    first = united(common.written(close_pairs(pairs, classes, like), "close-pairs"), None, docs, like)
+    if first is None:
+        first = _no_components(classes)
+    last = united(common.written(close_pairs(open_pairs(members, classes, first, like), classes, like), "close-pairs"),
+                  first, docs, like)
 
     named = classes.select("key", "least").join(last, F.col("key") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "key"))
