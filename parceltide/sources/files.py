@@ -6,6 +6,9 @@ defaults its own row and never fails the scan.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from parceltide import constants as K, schemas
@@ -13,16 +16,68 @@ from parceltide.functions import derive, parse
 from parceltide.operators.shaping import clean_columns
 
 REJECT = "reject_reason"
+_ARRIVAL = "struct<file_time timestamp, file string, block bigint, row bigint>"
+
+
+_HEADER_READERS = 16
+
+
+def files_by_header(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
+    """The files below ``path`` grouped by their first line that is not blank, None for files without one.
+
+    Only the beginning of each file is read, through the file system the path belongs to.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def header(name: str) -> tuple[str, str | None]:
+        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = target.getFileSystem(conf).open(target)
+        try:
+            codec = codecs.getCodec(target)
+            text = codec.createInputStream(stream) if codec else stream
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8"))
+            while (line := lines.readLine()) is not None:
+                if line.strip():
+                    return target.toString(), line.removeprefix("\ufeff")
+            return target.toString(), None
+        finally:
+            stream.close()
+
+    names = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(_HEADER_READERS) as pool:
+        found = list(pool.map(header, names))
+    groups: dict[str | None, list[str]] = {}
+    for name, line in found:
+        groups.setdefault(line, []).append(name)
+    return groups
+
+
+def read_csv_groups(spark: SparkSession, path: str, multiline: bool = False,
+                    with_arrival: bool = False) -> list[DataFrame]:
+    """CSV files with headers, every column as text: one DataFrame for all files with the same header line, so that
+    columns are found by name whatever their order or number. ``multiline`` allows line breaks inside
+    quotes at the price of unsplittable files."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).option(
+        "enforceSchema", False)
+    groups = files_by_header(spark, path)
+    groups.pop(None, None)
+    if not groups:
+        return [spark.createDataFrame([], "parcel_id string" + (f", arrival {_ARRIVAL}" if with_arrival else ""))]
+    frames = []
+    for line in sorted(groups):
+        raw = reader.csv(groups[line])
+        frames.append(clean_columns(raw.select("*", file_arrival().alias("arrival")) if with_arrival else raw))
+    return frames
 
 
 def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """A CSV file with a header, every column as text. ``multiline`` allows line breaks inside
-    quotes at the price of unsplittable files. All files need the same header: one that orders its
-    columns differently is an error instead of silently swapped columns."""
-    return clean_columns(
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-        .option("enforceSchema", False).csv(path)
-    )
+    """CSV files with headers as one DataFrame of text; a column that a file does not have is NULL there."""
+    return _united(read_csv_groups(spark, path, multiline))
+
+
+def _united(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def _text(df: DataFrame, name: str, missing: str = "") -> Column:
@@ -93,8 +148,7 @@ def rejected(parsed: DataFrame) -> DataFrame:
 
 def scan_planned(spark: SparkSession, path: str) -> DataFrame:
     """Plan rows of CSV files, with their arrival order for upserts."""
-    raw = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False).csv(path)
-    return accepted(parse_planned(clean_columns(raw.select("*", file_arrival().alias("arrival")))))
+    return accepted(_united([parse_planned(raw) for raw in read_csv_groups(spark, path, with_arrival=True)]))
 
 
 def scan_events(spark: SparkSession, path: str) -> DataFrame:
@@ -103,7 +157,7 @@ def scan_events(spark: SparkSession, path: str) -> DataFrame:
     The order among copies of one event means nothing; the random last key lets the range
     partitioning spread them when there are very many.
     """
-    events = accepted(parse_events(read_csv_text(spark, path)))
+    events = accepted(_united([parse_events(raw) for raw in read_csv_groups(spark, path)]))
     return events.orderBy("event_timestamp", "event_id", F.rand(11))
 
 
@@ -112,17 +166,17 @@ def scan_training(spark: SparkSession, planned_path: str, events_path: str) -> t
     row stays."""
     plan_raw, event_raw = (read_csv_text(spark, p) for p in (planned_path, events_path))
     plan = plan_raw.select(*[
-        _typed(plan_raw, field).alias(field.name) for field in schemas.PLANNED.fields
+        typed(plan_raw, field).alias(field.name) for field in schemas.PLANNED.fields
         if field.name in plan_raw.columns
     ])
-    events = event_raw.select(
-        "parcel_id", "event_type",
-        parse.timestamp(F.col("event_timestamp")).alias("event_timestamp"),
-    )
+    parcel, kind, when = (F.col(c) if c in event_raw.columns else F.lit(None).cast("string")
+                          for c in ("parcel_id", "event_type", "event_timestamp"))
+    events = event_raw.select(parcel.alias("parcel_id"), kind.alias("event_type"),
+                              parse.timestamp(when).alias("event_timestamp"))
     return plan, events
 
 
-def _typed(df: DataFrame, field: T.StructField) -> Column:
+def typed(df: DataFrame, field: T.StructField) -> Column:
     if isinstance(field.dataType, T.TimestampNTZType):
         return parse.timestamp(F.col(field.name))
     if isinstance(field.dataType, T.DoubleType):
