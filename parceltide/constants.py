@@ -40,12 +40,14 @@ DEFAULT_WEATHER_FACTOR = 1.0
 DEFAULT_CONGESTION = 0.3
 DEFAULT_ROUTE_RISK = 0.4
 DEFAULT_DISTANCE_KM = 400.0
+DEFAULT_ROUTE = "R_PAR_LYO"
+DEFAULT_WEIGHT_KG = 5.0
 FALLBACK_SPEED_KMH = 80.0
 HEURISTIC_LOW_BELOW = 0.35
 HEURISTIC_MEDIUM_BELOW = 0.65
 ROUTE_RISK = {
-    "R_PAR_LYO": 0.4,
     "R_PAR_MAR": 0.6,
+    "R_PAR_LYO": 0.4,
     "R_PAR_BOR": 0.45,
     "R_PAR_LIL": 0.3,
     "R_LYO_MAR": 0.5,
