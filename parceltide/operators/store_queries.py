@@ -12,10 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parceltide import constants as K
 from parceltide.functions import aggregates as A, derive
-
-# Up to this many rows a ranked page is joined by sending its keys to the state table;
-# beyond it the page is joined by an ordinary shuffle.
-BROADCAST_PAGE_ROWS = 10_000
+from parceltide.operators.recent import Periods, newest
+from parceltide.session import written
 
 
 def _late() -> Column:
@@ -109,6 +107,31 @@ def kpi_summary(state: DataFrame) -> DataFrame:
     )
 
 
+def kpi_sums(state: DataFrame) -> DataFrame:
+    """Whole numbers behind the KPI row. They add up over parts of the state, and the delay does so exactly, in
+    microseconds."""
+    status = F.col("status")
+    counts = _counts(
+        total_parcels=F.lit(True), delivered=status == "delivered",
+        in_transit=~status.isin("delivered", "planned"), delayed=_late(),
+        high_risk=F.col("risk_level") == "high", on_time=_on_time(),
+    )
+    delay = F.rint(F.col("delay_minutes") * 60_000_000).cast("decimal(38,0)")
+    return state.agg(*counts, F.coalesce(F.sum(delay), F.lit(0)).cast("decimal(38,0)").alias("delay_us"))
+
+
+def kpi_of_sums(sums: DataFrame) -> DataFrame:
+    """The KPI row of added-up ``kpi_sums``, with those next to it."""
+    total = F.col("total_parcels")
+    mean = F.col("delay_us").cast("double") / 60_000_000 / F.nullif(total, F.lit(0))
+    return sums.select(
+        total, "delivered", "in_transit", "delayed", "high_risk",
+        A.round_half_up(mean, 1).alias("avg_delay_min"),
+        A.percentage(F.col("on_time"), total).alias("on_time_pct"),
+        F.struct(*sums.columns).alias("sums"),
+    )
+
+
 def kpi_sla(state: DataFrame) -> DataFrame:
     """On-time share against the SLA target; an empty store counts as 0 %."""
     on_time = F.coalesce(F.col("on_time_pct"), F.lit(0.0))
@@ -202,43 +225,43 @@ def parcels_by_status(state: DataFrame, limit: int = K.DEFAULT_LIMIT) -> DataFra
 # --- alerts ----------------------------------------------------------------------------------
 
 
-def _alert_page(alerts: DataFrame, state: DataFrame, severity: str | None, limit: int,
-                parcel_columns: list[str]) -> DataFrame:
+def _alert_page(alerts: DataFrame, state: DataFrame, severity: str | None, limit: int | None,
+                parcel_columns: list[str], periods: Periods | None) -> DataFrame:
     """Latest open alerts with columns of their parcel; alerts of unknown parcels stay.
 
-    The join neither drops nor repeats alerts, so the page is cut before it. A small page then
-    filters the state table by a broadcast of its keys instead of shuffling that table.
+    The join neither drops nor repeats alerts, so the page is cut before it and written: the alerts
+    are scanned once, and Spark knows the page's size when it decides how to join it.
     """
-    page = ranked(
-        where_equal(alerts.filter(~F.col("acknowledged")), severity=severity),
-        ["created_at"], ["alert_id", "message"], limit,
-    ).drop(*[c for c in parcel_columns if c in alerts.columns])
-    parcels = state.select("parcel_id", *parcel_columns)
-    if limit is not None and limit <= BROADCAST_PAGE_ROWS:
-        keys = page.select("parcel_id").distinct()
-        parcels = F.broadcast(parcels.join(F.broadcast(keys), "parcel_id", "left_semi"))
+    rows = where_equal(alerts.filter(~F.col("acknowledged")), severity=severity)
+    rows = rows.drop(*[c for c in parcel_columns if c in alerts.columns])
+    page = ranked(newest(rows, periods, limit), ["created_at"], ["alert_id", "message"], limit)
+    if limit is not None:
+        page = written(page, "alert-page")
+    keys = page.select("parcel_id").distinct()
+    parcels = state.select("parcel_id", *parcel_columns).join(keys, "parcel_id", "left_semi")
     return page.join(parcels, "parcel_id", "left")
 
 
 def recent_alerts(alerts: DataFrame, state: DataFrame, severity: str | None = None,
-                  limit: int = K.DEFAULT_LIMIT) -> DataFrame:
-    page = _alert_page(alerts, state, severity, limit, ["hub_id", "client_id", "route_id"])
+                  limit: int | None = K.DEFAULT_LIMIT, periods: Periods | None = None) -> DataFrame:
+    page = _alert_page(alerts, state, severity, limit, ["hub_id", "client_id", "route_id"], periods)
     rows = page.select("alert_id", "parcel_id", "alert_type", "severity", "message",
                        "created_at", "acknowledged", "hub_id", "client_id", "route_id")
     return ranked(rows, ["created_at"], ["alert_id", "message"], None)
 
 
-def active_alerts(alerts: DataFrame, state: DataFrame,
-                  limit: int = K.DEFAULT_LIMIT) -> DataFrame:
-    page = _alert_page(alerts, state, None, limit, ["hub_id", "client_id"])
+def active_alerts(alerts: DataFrame, state: DataFrame, limit: int | None = K.DEFAULT_LIMIT,
+                  periods: Periods | None = None) -> DataFrame:
+    page = _alert_page(alerts, state, None, limit, ["hub_id", "client_id"], periods)
     return ranked(page, ["created_at"], ["alert_id", "message"], None).select(
         "severity", "message", "created_at", "hub_id", "client_id"
     )
 
 
-def alert_feed(alerts: DataFrame, state: DataFrame, limit: int = K.DEFAULT_LIMIT) -> DataFrame:
+def alert_feed(alerts: DataFrame, state: DataFrame, limit: int | None = K.DEFAULT_LIMIT,
+               periods: Periods | None = None) -> DataFrame:
     """Open alerts as the feed displays them."""
-    return active_alerts(alerts, state, limit).select(
+    return active_alerts(alerts, state, limit, periods).select(
         derive.display_severity(F.col("severity")).alias("severity"),
         derive.severity_icon(F.col("severity")).alias("icon"),
         F.coalesce("hub_id", F.lit("?")).alias("hub_id"),
@@ -254,8 +277,8 @@ def alert_feed(alerts: DataFrame, state: DataFrame, limit: int = K.DEFAULT_LIMIT
 
 
 def event_journal(log: DataFrame, event_type: str | None = None, hub_id: str | None = None,
-                  limit: int = 50) -> DataFrame:
-    rows = where_equal(log, event_type=event_type, hub_id=hub_id).select(
+                  limit: int | None = 50, periods: Periods | None = None) -> DataFrame:
+    rows = newest(where_equal(log, event_type=event_type, hub_id=hub_id), periods, limit).select(
         "parcel_id", "event_type", "event_timestamp", "hub_id", "latitude", "longitude",
         *[c for c in ("ingested_at",) if c in log.columns],
     )
@@ -267,5 +290,9 @@ def event_timeline(log: DataFrame) -> DataFrame:
     return log.groupBy(hour.alias("hour"), "event_type").agg(F.count(F.lit(1)).alias("count"))
 
 
-def recent_errors(dead_letters: DataFrame, limit: int = 20) -> DataFrame:
-    return ranked(dead_letters, ["created_at"], ["raw_message"], limit)
+def recent_errors(dead_letters: DataFrame, limit: int | None = 20,
+                  periods: Periods | None = None) -> DataFrame:
+    rows = newest(dead_letters, periods, limit)
+    if periods is not None:
+        rows = rows.drop(periods.column)
+    return ranked(rows, ["created_at"], ["raw_message"], limit)

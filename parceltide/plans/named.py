@@ -27,7 +27,8 @@ _QUERIES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "hub_stats": (lambda s, **f: Q.hub_stats(s.state, **f), ("limit",)),
     "route_stats": (lambda s, **f: Q.route_stats(s.state, **f), ("limit",)),
     "recent_alerts": (
-        lambda s, **f: Q.recent_alerts(s.alerts, s.state, **f), ("severity", "limit"),
+        lambda s, **f: Q.recent_alerts(s.alerts, s.state, periods=s.periods("alerts"), **f),
+        ("severity", "limit"),
     ),
     "client_parcels": (
         lambda s, **f: Q.client_parcels(s.state, **f), ("client_id", "status", "limit"),

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parceltide import schemas
-from parceltide.operators import correlate, golden
+from parceltide.operators import correlate, golden, recent
 from parceltide.sources import seeds
 
 
@@ -39,11 +39,15 @@ class Store:
 
     @property
     def alerts(self) -> DataFrame:
-        return self.table("alerts")
+        return self.spark.read.schema(schemas.ALERTS).parquet(f"{self.path}/alerts")
 
     @property
     def errors(self) -> DataFrame:
-        return self.table("error_logs")
+        return self.spark.read.schema(schemas.DEAD_LETTERS).parquet(f"{self.path}/error_logs")
+
+    def periods(self, name: str) -> recent.Periods | None:
+        """The days, months or years that a table is partitioned by."""
+        return recent.listed(self.spark, f"{self.path}/{name}")
 
     @property
     def hubs(self) -> DataFrame:
@@ -54,22 +58,23 @@ class Store:
         return seeds.routes(self.spark)
 
 
-def write_event_log(events: DataFrame, path: str, unit: str = "day", mode: str = "append") -> None:
-    """Append events partitioned by the day, month or year they happened in.
+def write_by_period(df: DataFrame, when: str, path: str, unit: str = "day", mode: str = "append") -> None:
+    """Append rows partitioned by the day, month or year of the time in ``when``. Such a column is named after
+    the first word of the time's name and the unit.
 
     The rebalance hint lets AQE size the files: small partitions are merged and a period that
-    holds most of the events is written by several tasks.
+    holds most of the rows is written by several tasks.
     """
-    name = f"event_{unit}"
-    period = F.col("event_timestamp").cast("date")
+    name = f"{when.split('_')[0]}_{unit}"
+    period = F.col(when).cast("date")
     if unit != "day":
         period = F.trunc(period, unit)
-    (
-        events.withColumn(name, period)
-        .withColumn("ingested_at", F.current_timestamp())
-        .hint("rebalance", name)
-        .write.mode(mode).partitionBy(name).parquet(path)
-    )
+    df.withColumn(name, period).hint("rebalance", name).write.mode(mode).partitionBy(name).parquet(path)
+
+
+def write_event_log(events: DataFrame, path: str, unit: str = "day", mode: str = "append") -> None:
+    """Append events partitioned by the day, month or year they happened in."""
+    write_by_period(events.withColumn("ingested_at", F.current_timestamp()), "event_timestamp", path, unit, mode)
 
 
 def build_store(spark: SparkSession, path: str, planned: DataFrame, events: DataFrame,
@@ -91,6 +96,6 @@ def build_store(spark: SparkSession, path: str, planned: DataFrame, events: Data
         .sortWithinPartitions("hub_id", "status"),
         "parcel_state",
     )
-    write(correlate.alerts(log, plan), "alerts")
-    write(correlate.dead_letters(log, plan), "error_logs")
+    write_by_period(correlate.alerts(log, plan), "created_at", f"{path}/alerts", log_unit, "overwrite")
+    write_by_period(correlate.dead_letters(log, plan), "created_at", f"{path}/error_logs", log_unit, "overwrite")
     return store

@@ -29,6 +29,13 @@ PARCEL_STATE = _struct(
     weather_condition=_STR, congestion_level=_DBL,
 )
 
+ALERTS = _struct(
+    alert_id=_STR, parcel_id=_STR, alert_type=_STR, severity=_STR, delay_min=_DBL, event_type=_STR,
+    hub_id=_STR, client_id=_STR, route_id=_STR, message=_STR, created_at=_NTZ,
+    acknowledged=T.BooleanType(),
+)
+DEAD_LETTERS = _struct(topic=_STR, raw_message=_STR, error_reason=_STR, created_at=_NTZ)
+
 # Payloads as they travel on the topics: timestamps are ISO text.
 PLANNED_PAYLOAD = _struct(
     parcel_id=_STR, client_id=_STR, route_id=_STR, hub_id=_STR, dest_hub_id=_STR,
