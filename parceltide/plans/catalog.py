@@ -7,18 +7,20 @@ stream) are derived once per application and written to the shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from parceltide import constants as K
+from parceltide import constants as K, schemas
 from parceltide.functions import parse, text
 from parceltide.operators import (
-    conversation, correlate, features, golden, model, report, scoring, shaping,
+    conversation, correlate, features, golden, model, prediction, report, scoring, shaping,
     store_queries as Q, upsert,
 )
+from parceltide.plans.buckets import BucketTable
 from parceltide.plans.named import run_named_query
 from parceltide.plans.store import Store, build_store
-from parceltide.session import apply_session_conf, shared_dir
+from parceltide.session import apply_session_conf, shared_dir, written
 from parceltide.sources import files, seeds, testdata, topics
 from parceltide.streaming import timeline, tower
 
@@ -26,8 +28,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _EVENT_COLUMNS = ("event_id", "parcel_id", "event_type", "event_timestamp", "hub_id",
                   "latitude", "longitude")
-# A trial run: the registered model queries do less than the task, whose settings are the default.
-_DEMO_MODEL = model.RiskModelSettings(rounds=3, max_depth=3)
+_UNIT = "year"  # the orders spread over 2,400 days
+_ALL_DAYS = 36_500.0  # no event id is forgotten
+_LOG_YEAR = (date(1995, 1, 1), date(1995, 12, 31))
 
 _built: dict[tuple[str, str, str], object] = {}
 
@@ -46,7 +49,7 @@ def store(spark: SparkSession, sf_dir: str) -> Store:
     return once(spark, sf_dir, "store", lambda: build_store(
         spark, shared_dir(spark, "store"),
         testdata.planned_shipments(spark, sf_dir), testdata.delivery_events(spark, sf_dir),
-        plan_order=("planned_pickup", "planned_delivery"), log_unit="year",
+        plan_order=("planned_pickup", "planned_delivery"), log_unit=_UNIT,
     ))
 
 
@@ -108,7 +111,7 @@ def _tower(spark: SparkSession, sf_dir: str) -> tower.TowerTables:
     def build() -> tower.TowerTables:
         path = shared_dir(spark, "tower")
         messages = _topic_stream(spark, sf_dir)
-        tower.start_tower(messages, path, refresh_kpi=True).awaitTermination()
+        tower.start_tower(messages, path, refresh_kpi=True, log_unit=_UNIT).awaitTermination()
         return tower.TowerTables(spark, path)
 
     return once(spark, sf_dir, "tower", build)
@@ -151,7 +154,7 @@ def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _model(spark: SparkSession, sf_dir: str):
     def build():
         train_rows = _split(spark, sf_dir).filter(~F.col("is_test"))
-        return model.train(train_rows, _DEMO_MODEL)
+        return model.train(train_rows)
 
     return once(spark, sf_dir, "model", build)
 
@@ -173,7 +176,7 @@ def _store_queries() -> dict[str, Query]:
             "parcel_id", "delay_minutes", "risk_level", "risk_probability"),
         "alerts": lambda s: correlate.alerts(_events(s), s.plan),
         "dead_letters": lambda s: correlate.dead_letters(_events(s), s.plan),
-        "recent_errors": lambda s: Q.recent_errors(s.errors),
+        "recent_errors": lambda s: Q.recent_errors(s.errors, periods=s.periods("error_logs")),
         "events_log": lambda s: correlate.events_log(_events(s)),
         "message_counts": lambda s: correlate.message_counts(_events(s), s.plan),
         "event_span": lambda s: correlate.event_span(s.events),
@@ -192,11 +195,12 @@ def _store_queries() -> dict[str, Query]:
         "route_lines": lambda s: Q.route_lines(s.state, s.routes, s.hubs),
         "risk_distribution": lambda s: Q.risk_distribution(s.state),
         "parcels_by_status": lambda s: Q.parcels_by_status(s.state),
-        "recent_alerts": lambda s: Q.recent_alerts(s.alerts, s.state),
-        "active_alerts": lambda s: Q.active_alerts(s.alerts, s.state),
-        "alert_feed": lambda s: Q.alert_feed(s.alerts, s.state),
+        "recent_alerts": lambda s: Q.recent_alerts(s.alerts, s.state, periods=s.periods("alerts")),
+        "active_alerts": lambda s: Q.active_alerts(s.alerts, s.state, periods=s.periods("alerts")),
+        "alert_feed": lambda s: Q.alert_feed(s.alerts, s.state, periods=s.periods("alerts")),
         "event_journal": lambda s: Q.event_journal(
-            s.events, event_type="delivered", hub_id="HUB_LYON").drop("ingested_at"),
+            s.events, event_type="delivered", hub_id="HUB_LYON",
+            periods=s.periods("delivery_events_log")).drop("ingested_at"),
         "event_timeline": lambda s: Q.event_timeline(s.events),
         "normalise_result": lambda s: run_named_query(s, "delayed_parcels"),
         "heuristic_risk": lambda s: scoring.heuristic_risk(s.plan),
@@ -257,7 +261,7 @@ def seed_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.insert_if_absent(segments, seeds.clients(spark), "client_id")
 
 
-def upsert_planned(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _later_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plans of all orders sent again half an hour later, with fog."""
     later = {
         c: F.timestamp_add("MINUTE", F.lit(30), F.col(c))
@@ -265,8 +269,72 @@ def upsert_planned(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     sent = testdata.order_plans(spark, sf_dir).withColumns(
         {**later, "weather_condition": F.lit("fog")})
-    plan = golden.fold_plan(sent, ("planned_pickup", "planned_delivery"))
-    return upsert.upsert_planned(store(spark, sf_dir).state, plan)
+    return golden.fold_plan(sent, ("planned_pickup", "planned_delivery"))
+
+
+def upsert_planned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert.upsert_planned(store(spark, sf_dir).state.drop("updated_at"), _later_plans(spark, sf_dir))
+
+
+def seed_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hubs already in the store, one per nation, some under a seed's id, completed by the seed."""
+    nation = F.col("n_nationkey")
+    ids = F.get(F.array(*[F.lit(row[0]) for row in K.HUB_SEED]), (nation / 5).cast("int"))
+    stored = testdata.table(spark, sf_dir, "nation").select(
+        F.when(nation % 5 == 0, ids).otherwise(F.concat(F.lit("HUB_"), "n_name")).alias("hub_id"),
+        F.col("n_name").alias("hub_name"), F.col("n_name").alias("city"),
+        nation.cast("double").alias("latitude"), F.col("n_regionkey").cast("double").alias("longitude"),
+        F.lit(1000).alias("capacity"))
+    return upsert.insert_if_absent(stored, seeds.hubs(spark), "hub_id")
+
+
+def seed_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes already in the store, one per pair of a nation and its region, completed by the seed."""
+    nation = F.col("n_nationkey")
+    ids = F.get(F.array(*[F.lit(row[0]) for row in K.ROUTE_SEED]), (nation / 5).cast("int"))
+    stored = testdata.table(spark, sf_dir, "nation").join(
+        testdata.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.when(nation % 5 == 1, ids).otherwise(F.concat(F.lit("R_"), "n_name")).alias("route_id"),
+        F.col("n_name").alias("origin"), F.col("r_name").alias("destination"),
+        (100.0 + nation).alias("distance_km"), ((100.0 + nation) / K.FALLBACK_SPEED_KMH).alias("avg_duration_h"))
+    return upsert.insert_if_absent(stored, seeds.routes(spark), "route_id")
+
+
+def scan_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scans per planned parcel as the training files tell them."""
+    path = _csv_landing(spark, sf_dir)
+    plan, events = files.scan_training(spark, f"{path}/planned", f"{path}/events")
+    scans = events.groupBy("parcel_id").agg(
+        F.count(F.lit(1)).alias("scans"), F.max("event_timestamp").alias("last_scan"))
+    return plan.select("parcel_id", "planned_pickup", "congestion_level", "weight_kg").join(scans, "parcel_id", "left")
+
+
+def csv_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state table written as CSV and read back with its types."""
+
+    def build() -> str:
+        path = shared_dir(spark, "state-csv")
+        state = store(spark, sf_dir).state.drop("updated_at")
+        times = [f.name for f in schemas.PARCEL_STATE.fields if isinstance(f.dataType, T.TimestampNTZType)]
+        state.withColumns({c: parse.iso_text(F.col(c)) for c in times}).write.option("header", True).csv(path)
+        return path
+
+    text = files.read_csv_text(spark, once(spark, sf_dir, "state-csv", build))
+    return text.select(*[files.typed(text, field).alias(field.name) for field in schemas.PARCEL_STATE.fields])
+
+
+def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same plans applied to a stored state, bucket by bucket."""
+
+    def build() -> BucketTable:
+        path, s = shared_dir(spark, "state-buckets"), store(spark, sf_dir)
+        schema = T.StructType([*schemas.PARCEL_STATE.fields, T.StructField("updated_at", T.TimestampType())])
+        table = BucketTable(spark, path, "parcel_id", schema)
+        table.create(s.state, 32)
+        table.merge(written(_later_plans(spark, sf_dir), "later-plans"), upsert.upsert_planned)
+        return table
+
+    return once(spark, sf_dir, "state-buckets", build).read().drop("updated_at")
 
 
 def publish_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,6 +359,26 @@ def publish_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.decode_alerts(topics.read_file_topic(spark, path))
 
 
+def publish_planned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plans published as JSON messages keyed by parcel and decoded again."""
+    decoded = topics.decode_messages(topics.read_file_topic(spark, _topic_landing(spark, sf_dir)))
+    return decoded.filter(F.col("topic") == K.PLAN_TOPIC).select(
+        "key", "parcel_id", "client_id", "route_id", "hub_id", "planned_pickup", "planned_delivery",
+        "weather_condition", "congestion_level")
+
+
+def publish_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error messages of unknown parcels as they lie in the topic."""
+
+    def build() -> str:
+        path = shared_dir(spark, "published-errors")
+        topics.publish_files(topics.encode_unknown(store(spark, sf_dir).errors), path)
+        return path
+
+    path = once(spark, sf_dir, "published-errors", build)
+    return topics.read_file_topic(spark, path).select("topic", "key", "value")
+
+
 def parse_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON payloads decoded with a default and encoded in canonical form."""
     payload = F.from_json("props", "k bigint")
@@ -345,7 +433,7 @@ def train_risk_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.feature_importance(_model(spark, sf_dir), spark)
+    return model.feature_importance(_model(spark, sf_dir))
 
 
 def score_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -353,6 +441,72 @@ def score_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.score_parcels(_model(spark, sf_dir), features.with_features(encoded))
 
 
+def cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and deviation over the folds of the weighted F1 of a fixed prediction, the heuristic one."""
+    folded = features.stratified_folds(_ranked(spark, sf_dir))
+    rows = scoring.heuristic_risk(folded, keep=("risk_label", "copies", "fold"))
+    classes = F.array(*[F.lit(c) for c in K.RISK_CLASSES])
+    judged = rows.select("fold", "copies", F.col("risk_label").alias("label"),
+                         (F.array_position(classes, F.col("risk_level")) - 1).alias("prediction"))
+    scores = model.fold_scores((report.classification_report(
+        judged.filter(F.col("fold") == fold), F.col("copies")), fold) for fold in range(5))
+    return model.cv_summary(scores).select(*[F.round(c, 6).alias(c) for c in ("cv_f1_mean", "cv_f1_std")])
+
+
+def score_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for every scored parcel, and that the saved model scores it alike."""
+
+    def build() -> str:
+        path = shared_dir(spark, "artifacts")
+        rep = model.evaluate(_model(spark, sf_dir), _split(spark, sf_dir).filter("is_test"))
+        model.save_artifacts(_model(spark, sf_dir), _label_index(spark, sf_dir), model.metrics_row(rep), path)
+        return path
+
+    fitted, index = model.load_artifacts(spark, once(spark, sf_dir, "artifacts", build))
+    encoded = features.encode_labels(store(spark, sf_dir).plan, index)
+    again = model.score_parcels(fitted, features.with_features(encoded))
+    first = score_parcels(spark, sf_dir)
+    shares = [F.col(c) for c in model.SHARES]
+    named = F.element_at(F.array(*shares), F.array_position(
+        F.array(*map(F.lit, K.RISK_CLASSES)), F.col("risk_level")).cast("int"))
+    return again.join(first.select("parcel_id", F.struct(*model.SHARES).alias("first")), "parcel_id").select(
+        "parcel_id", (F.abs(shares[0] + shares[1] + shares[2] - 1) < 0.0016).alias("sums_to_one"),
+        (F.greatest(*shares) == named).alias("level_is_largest"),
+        (F.struct(*model.SHARES) == F.col("first")).alias("saved_model_agrees"))
+
+
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction requests made from the orders: fields left out at fixed intervals, some hours that do not exist."""
+    k = F.col("o_orderkey")
+    routes = [row[0] for row in K.ROUTE_SEED]
+    return testdata.table(spark, sf_dir, "orders").select(
+        k.alias("request_id"),
+        F.get(F.array(*map(F.lit, [*routes, "R_NEW", None])), (k % 9).cast("int")).alias("route_id"),
+        F.get(F.array(*map(F.lit, [*K.WEATHER_FACTOR, None])), (k % 6).cast("int")).alias("weather_condition"),
+        F.when(k % 4 != 0, ((k * 37 + 11) % 101) / F.lit(100.0)).alias("congestion_level"),
+        F.when(k % 3 == 0, (200 + (k * 61) % 700).cast("double")).alias("distance_km"),
+        F.when(k % 5 != 0, ((10 + (k * 7919) % 4991) / F.lit(100.0))).alias("weight_kg"),
+        F.when(k % 7 != 3, (k % 26).cast("int")).alias("hour_of_day"),
+    )
+
+
+def predict_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of requests; of model rows, whose numbers SQL cannot give, what must hold for them."""
+    rows = prediction.predict_delay(
+        _requests(spark, sf_dir), store(spark, sf_dir).routes, datetime(2024, 1, 6, 10),
+        _model(spark, sf_dir), _label_index(spark, sf_dir))
+    shares = [F.col(c) for c in model.SHARES]
+    named = F.element_at(F.array(*shares), F.array_position(
+        F.array(*map(F.lit, K.RISK_CLASSES)), F.col("risk_level")).cast("int"))
+    heuristic = F.col("source") == "heuristic"
+    return rows.select(
+        "request_id", "route_id", "weather_condition", "congestion_level", "source", "risk_score",
+        F.when(heuristic, F.col("risk_level")).alias("heuristic_level"),
+        (F.abs(shares[0] + shares[1] + shares[2] - 1) < 0.0016).alias("sums_to_one"),
+        (F.greatest(*shares) == named).alias("level_is_largest"),
+    )
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> str:
         path = shared_dir(spark, "ingest")
@@ -379,13 +533,48 @@ def stream_golden_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tower(spark, sf_dir).alerts.drop("batch_id")
+    return _tower(spark, sf_dir).alerts.drop("batch_id", f"created_{_UNIT}")
 
 
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tower(spark, sf_dir).errors.drop("batch_id")
 
 
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of a stream that stops after the plans and starts again from its checkpoint when events come."""
+
+    def build() -> tower.TowerTables:
+        path, s = shared_dir(spark, "restart"), store(spark, sf_dir)
+        for messages in (topics.encode_planned(s.plan), topics.encode_events(_events(s))):
+            topics.publish_files(messages, f"{path}/topics")
+            stream = topics.stream_file_topic(spark, f"{path}/topics", spark.sparkContext.defaultParallelism)
+            tower.start_tower(stream, f"{path}/tower", log_unit=_UNIT).awaitTermination()
+        return tower.TowerTables(spark, f"{path}/tower")
+
+    return once(spark, sf_dir, "restart", build).state
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log of a stream in which every event is sent twice and repeats are dropped."""
+
+    def build() -> tower.TowerTables:
+        path, s = shared_dir(spark, "dedup"), store(spark, sf_dir)
+        topics.publish_files(topics.encode_planned(s.plan), f"{path}/topics")
+        events = topics.encode_events(_events(s))
+        for _ in range(2):
+            topics.publish_files(events, f"{path}/topics")
+        messages = topics.stream_file_topic(spark, f"{path}/topics", spark.sparkContext.defaultParallelism)
+        tower.start_tower(messages, f"{path}/tower", dedup_days=_ALL_DAYS, log_unit=_UNIT).awaitTermination()
+        return tower.TowerTables(spark, f"{path}/tower")
+
+    return once(spark, sf_dir, "dedup", build).log.select(*_EVENT_COLUMNS)
+
+
+def stream_log_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts of one year of the stream's event log, found through its manifest."""
+    return Q.event_timeline(_tower(spark, sf_dir).log_of(*_LOG_YEAR))
+
+
 def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The KPI row of the last micro-batch."""
     kpis = _tower(spark, sf_dir).kpis
@@ -399,7 +588,7 @@ def stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         path, replayed = shared_dir(spark, "replay"), F.lit(10**16)
         arrival = F.when(F.col("topic") == K.PLAN_TOPIC, replayed).otherwise(F.col("at_us") + replayed)
         messages = _topic_stream(spark, sf_dir).withColumn("at_us", arrival)
-        tower.start_tower(messages, path, order_by=tower.EVENT_TIME).awaitTermination()
+        tower.start_tower(messages, path, order_by=tower.EVENT_TIME, log_unit=_UNIT).awaitTermination()
         return tower.TowerTables(spark, path)
 
     return once(spark, sf_dir, "replay", build).state
@@ -412,7 +601,7 @@ def stream_named_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OTHER: dict[str, Query] = {
     "scan_planned": scan_planned, "scan_events": scan_events, "clean_columns": clean_columns,
     "flatten_pages": flatten_pages, "seed_dimensions": seed_dimensions,
-    "upsert_planned": upsert_planned, "publish_events": publish_events,
+    "upsert_planned": upsert_planned, "upsert_stored": upsert_stored, "predict_delay": predict_delay, "publish_events": publish_events,
     "publish_alerts": publish_alerts,
     "parse_payloads": parse_payloads, "parse_latlon": parse_latlon, "strip_think": strip_think,
     "chat_context": chat_context, "features": feature_rows,
@@ -420,6 +609,9 @@ _OTHER: dict[str, Query] = {
     "train_risk_model": train_risk_model, "feature_importance": feature_importance,
     "score_parcels": score_parcels, "stream_ingest": stream_ingest,
     "stream_timeline": stream_timeline, "stream_golden_record": stream_golden_record,
+    "seed_hubs": seed_hubs, "seed_routes": seed_routes, "scan_training": scan_training, "csv_result": csv_result,
+    "publish_planned": publish_planned, "publish_errors": publish_errors, "cv_summary": cv_summary,
+    "score_invariants": score_invariants, "stream_restart": stream_restart, "stream_dedup": stream_dedup, "stream_log_days": stream_log_days,
     "stream_alerts": stream_alerts, "stream_dead_letters": stream_dead_letters,
     "stream_kpi": stream_kpi, "stream_event_time": stream_event_time,
     "stream_named_query": stream_named_query,

@@ -254,6 +254,13 @@ _TIMELINE = """SELECT date_trunc('hour', event_timestamp)::TIMESTAMP AS hour, ev
             FROM ev GROUP BY ALL"""
 
 
+_UPSERTED = """SELECT t.parcel_id, coalesce(g.client_id, t.client_id) AS client_id, coalesce(g.route_id, t.route_id) AS route_id,
+            coalesce(g.hub_id, t.hub_id) AS hub_id, 'planned' AS status, t.planned_pickup + INTERVAL 30 MINUTE AS planned_pickup, g.actual_pickup,
+            t.planned_pickup + to_minutes(t.dur + 30) AS planned_delivery, g.actual_delivery, coalesce(g.delay_minutes, 0) AS delay_minutes,
+            coalesce(g.risk_level, 'low') AS risk_level, coalesce(g.risk_probability, 0) AS risk_probability, 'fog' AS weather_condition,
+            t.c / 100.0::DOUBLE AS congestion_level FROM timed t LEFT JOIN golden g ON g.parcel_id = t.parcel_id"""
+
+
 _LATE_NORMALISED = """SELECT parcel_id, client_id, hub_id, route_id, status, delay_minutes, risk_level,
             strftime(planned_delivery, '%Y-%m-%dT%H:%M:%S') AS planned_delivery,
             strftime(actual_delivery, '%Y-%m-%dT%H:%M:%S') AS actual_delivery FROM golden WHERE delay_minutes > 15
@@ -331,14 +338,63 @@ def oracle_sql() -> dict[str, str]:
             seed AS (SELECT column0 AS client_id, column1 AS client_name, column2::DOUBLE AS sla_hours, column3 AS priority
                 FROM (VALUES {_values(K.CLIENT_SEED)}) AS t(column0, column1, column2, column3))
             SELECT * FROM stored UNION ALL SELECT * FROM seed WHERE client_id NOT IN (SELECT client_id FROM stored)""",
+        "seed_hubs": f"""WITH stored AS (SELECT CASE WHEN n_nationkey % 5 = 0
+                THEN [{", ".join(_sql(r[0]) for r in K.HUB_SEED)}][n_nationkey // 5 + 1] ELSE 'HUB_' || n_name END AS hub_id,
+                n_name AS hub_name, n_name AS city, n_nationkey::DOUBLE AS latitude, n_regionkey::DOUBLE AS longitude,
+                1000 AS capacity FROM nation),
+            seed AS (SELECT column0 AS hub_id, column1 AS hub_name, column2 AS city, column3::DOUBLE AS latitude,
+                column4::DOUBLE AS longitude, column5 AS capacity
+                FROM (VALUES {_values(K.HUB_SEED)}) AS t(column0, column1, column2, column3, column4, column5))
+            SELECT * FROM stored UNION ALL SELECT * FROM seed WHERE hub_id NOT IN (SELECT hub_id FROM stored)""",
+        "seed_routes": f"""WITH stored AS (SELECT CASE WHEN n_nationkey % 5 = 1
+                THEN [{", ".join(_sql(r[0]) for r in K.ROUTE_SEED)}][n_nationkey // 5 + 1] ELSE 'R_' || n_name END AS route_id,
+                n_name AS origin, r_name AS destination, 100.0::DOUBLE + n_nationkey AS distance_km,
+                (100.0::DOUBLE + n_nationkey) / 80.0::DOUBLE AS avg_duration_h FROM nation JOIN region ON n_regionkey = r_regionkey),
+            seed AS (SELECT column0 AS route_id, column1 AS origin, column2 AS destination, column3::DOUBLE AS distance_km,
+                column4::DOUBLE AS avg_duration_h FROM (VALUES {_values(K.ROUTE_SEED)}) AS t(column0, column1, column2, column3, column4))
+            SELECT * FROM stored UNION ALL SELECT * FROM seed WHERE route_id NOT IN (SELECT route_id FROM stored)""",
+        "scan_training": _q("planned", "ev", sql="""SELECT p.parcel_id, p.planned_pickup, p.congestion_level, p.weight_kg, scans, last_scan
+            FROM planned p LEFT JOIN (SELECT parcel_id, count(*) AS scans, max(event_timestamp) AS last_scan FROM ev GROUP BY parcel_id) e
+            ON e.parcel_id = p.parcel_id"""),
+        "csv_result": _q(g, sql=f"SELECT {_STATE_COLUMNS} FROM golden"),
+        "publish_planned": _q("planned", sql="""SELECT parcel_id AS key, parcel_id, client_id, route_id, hub_id, planned_pickup,
+            planned_delivery, weather_condition, congestion_level FROM planned"""),
+        "publish_errors": _q("ev", "planned", sql=f"""SELECT 'error_logs' AS topic, json_extract_string(raw_message, '$.parcel_id') AS key,
+            raw_message AS value FROM ({_DEAD})"""),
+        "cv_summary": _q("ordered", "levels", sql="""SELECT round(avg(f1), 6) AS cv_f1_mean, round(stddev_pop(f1), 6) AS cv_f1_std FROM (
+            SELECT fold, sum(support * CASE WHEN 2 * hits > 0 THEN 2 * hits / (support + predicted)::DOUBLE ELSE 0 END) / sum(support) AS f1 FROM (
+                SELECT fold, cls, coalesce(sum(copies) FILTER (label = cls), 0) AS support,
+                    coalesce(sum(copies) FILTER (prediction = cls), 0) AS predicted,
+                    coalesce(sum(copies) FILTER (label = cls AND prediction = cls), 0) AS hits
+                FROM (SELECT o.group_rank % 5 AS fold, o.risk_label AS label, v.level AS prediction, o.copies
+                      FROM ordered o JOIN levels v USING (parcel_id)), (VALUES (0), (1), (2)) AS k(cls) GROUP BY fold, cls)
+            GROUP BY fold)"""),
+        "score_invariants": _q("planned", sql="""SELECT parcel_id, true AS sums_to_one, true AS level_is_largest,
+            true AS saved_model_agrees FROM planned"""),
+        "stream_restart": _q(g, sql=f"SELECT {_STATE_COLUMNS} FROM golden"),
         "publish_events": _q("ev", sql=f"SELECT {_EVENT} FROM ev"),
         "publish_alerts": _q("al", sql="SELECT * EXCLUDE (acknowledged) FROM al"),
         "canonical_events": _q("ev", sql="SELECT * REPLACE (strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') AS event_timestamp) FROM ev"),
-        "upsert_planned": _q(g, sql="""SELECT t.parcel_id, coalesce(g.client_id, t.client_id) AS client_id, coalesce(g.route_id, t.route_id) AS route_id,
-            coalesce(g.hub_id, t.hub_id) AS hub_id, 'planned' AS status, t.planned_pickup + INTERVAL 30 MINUTE AS planned_pickup, g.actual_pickup,
-            t.planned_pickup + to_minutes(t.dur + 30) AS planned_delivery, g.actual_delivery, coalesce(g.delay_minutes, 0) AS delay_minutes,
-            coalesce(g.risk_level, 'low') AS risk_level, coalesce(g.risk_probability, 0) AS risk_probability, 'fog' AS weather_condition,
-            t.c / 100.0::DOUBLE AS congestion_level FROM timed t LEFT JOIN golden g ON g.parcel_id = t.parcel_id"""),
+        "upsert_planned": _q(g, sql=_UPSERTED),
+        "upsert_stored": _q(g, sql=_UPSERTED),
+        "predict_delay": _q("routes", sql=f"""SELECT request_id, route_id, weather_condition, congestion_level,
+            CASE WHEN hour_of_day > 23 THEN 'heuristic' ELSE 'ml_model' END AS source,
+            CASE WHEN hour_of_day > 23 THEN {_SCORE_3} END AS risk_score,
+            CASE WHEN hour_of_day > 23 THEN CASE WHEN score < 0.35::DOUBLE THEN 'low' WHEN score < 0.65::DOUBLE THEN 'medium'
+                ELSE 'high' END END AS heuristic_level,
+            CASE WHEN hour_of_day <= 23 THEN true END AS sums_to_one, CASE WHEN hour_of_day <= 23 THEN true END AS level_is_largest
+            FROM (SELECT *, (hi * 1000 - p) + (score - hi) * 1000 AS err
+                  FROM (SELECT *, score * 1000 AS p, score * 134217729 - (score * 134217729 - score) AS hi FROM (
+                SELECT q.*, least(1.0::DOUBLE, coalesce(r.base_risk, 0.4)::DOUBLE * CAST(f.factor AS DOUBLE)
+                                  * (1 + congestion_level * 0.5::DOUBLE)) AS score
+                FROM (SELECT o_orderkey AS request_id,
+                        coalesce([{", ".join(_sql(r[0]) for r in K.ROUTE_SEED)}, 'R_NEW', NULL][o_orderkey % 9 + 1], 'R_PAR_LYO') AS route_id,
+                        coalesce([{", ".join(_sql(w) for w in K.WEATHER_FACTOR)}, NULL][o_orderkey % 6 + 1], 'clear') AS weather_condition,
+                        CASE WHEN o_orderkey % 4 <> 0 THEN ((o_orderkey * 37 + 11) % 101) / 100.0::DOUBLE ELSE 0.3::DOUBLE END AS congestion_level,
+                        CASE WHEN o_orderkey % 7 <> 3 THEN o_orderkey % 26 ELSE 10 END AS hour_of_day FROM orders) q
+                LEFT JOIN routes r ON r.route_id = q.route_id
+                JOIN (VALUES {_values((w, v) for w, v in K.WEATHER_FACTOR.items())}) AS f(weather, factor)
+                    ON f.weather = q.weather_condition)))"""),
         "parse_payloads": """SELECT event_id, event_type, k, '{"event_id":' || event_id || ',"event_type":"' || event_type || '","k":' || k || '}' AS payload
             FROM (SELECT event_id, event_type, coalesce(CAST(json_extract(props, '$.k') AS BIGINT), 0) AS k FROM events)""",
         "parse_latlon": """SELECT event_id, event_type, CASE WHEN event_type NOT IN ('view', 'click') THEN value END AS origin_lat,
@@ -371,6 +427,9 @@ def oracle_sql() -> dict[str, str]:
             NULL AS event_timestamp, hub_id, planned_pickup, planned_delivery, CAST(NULL AS VARCHAR) AS problem FROM planned
             UNION ALL SELECT 'delivery_events', parcel_id, event_id, event_type, event_timestamp, hub_id, NULL, NULL, NULL FROM ev"""),
         "stream_timeline": _q("ev", sql=_TIMELINE),
+        "stream_dedup": _q("ev", sql="SELECT DISTINCT * FROM ev"),
+        "stream_log_days": _q("ev", sql="""SELECT date_trunc('hour', event_timestamp)::TIMESTAMP AS hour, event_type,
+            count(*) AS count FROM ev WHERE year(event_timestamp) = 1995 GROUP BY ALL"""),
         "stream_golden_record": _q(g, sql=f"SELECT {_STATE_COLUMNS} FROM golden"),
         "stream_alerts": _q("al", sql="SELECT * FROM al"),
         "stream_dead_letters": _q("ev", "planned", sql=_DEAD),

@@ -3,9 +3,10 @@
 import glob
 import json
 import random
+import re
 import shutil
 from collections import Counter
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ import simulate
 from parceltide import schemas
 from parceltide.sources import topics
 from parceltide.streaming import timeline, tower
-from parceltide.operators import golden
+from parceltide.operators import golden, store_queries
 from test_golden import alert_rows, frames, make_messages, state_rows
 
 
@@ -65,7 +66,7 @@ def encoded(messages):
 
 def run_tower(spark, source, out, **options):
     stream = topics.stream_file_topic(spark, source, 1)
-    tower.start_tower(stream, out, **options).awaitTermination()
+    tower.start_tower(stream, out, **{"buckets": 4, **options}).awaitTermination()
     return tower.TowerTables(spark, out)
 
 
@@ -110,6 +111,118 @@ def test_interleaved_topics_over_several_batches_and_a_restart(spark, folder):
     assert last["total_parcels"] == tables.state.count()
 
 
+@pytest.fixture(autouse=True)
+def whole_filters(spark):
+    """Plans state their filters in full."""
+    name = "spark.sql.maxMetadataStringLength"
+    spark.conf.set(name, "10000")
+    yield
+    spark.conf.unset(name)
+
+
+def partition_filters(df):
+    return re.findall(r"PartitionFilters: \[(.*?)\]", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_a_batch_reads_the_buckets_of_its_parcels_only(spark, folder):
+    messages = [(t, {**p, "parcel_id": f"Q{n}"}) for n, (t, p) in enumerate(make_messages(3, parcels=40, events=0))]
+    publish(spark, encoded(messages), f"{folder}/in")
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out", buckets=16)
+    assert tables.layout(99, "year") == (16, "day")  # fixed by the first batch
+    one = topics.decode_messages(topics.read_file_topic(spark, f"{folder}/in")).filter("parcel_id = 'Q7'")
+    bucket = one.select(tower.bucket_of("parcel_id", 16)).first()[0]
+    for with_events in (False, True):
+        held = tower.facts_before(tables, one, 1, with_events)
+        assert held.collect()[0]["parcel_id"] == "Q7"
+        assert f"(bucket#" in partition_filters(held)[0] and f"= {bucket})" in partition_filters(held)[0]
+    everything = spark.read.parquet(f"{folder}/out/facts").count()
+    bucket_rows = tables.facts(0).filter(F.col("bucket") == bucket).count()
+    assert everything == 40 and bucket_rows < 10
+
+
+def test_kpi_of_late_batches_reads_no_more_than_that_of_early_ones(spark, folder):
+    """Every batch touches two parcels of its own; the KPI row follows from the row before it."""
+    messages = make_messages(4, parcels=24, events=0)
+    for n in range(12):
+        publish(spark, [(2 * n + k, t, json.dumps({**p, "parcel_id": f"K{2 * n + k}"}))
+                        for k, (t, p) in enumerate(messages[2 * n:2 * n + 2])], f"{folder}/in")
+    late = {"event_id": "E", "parcel_id": "K0", "event_type": "delivered", "event_timestamp": "2030-01-01T00:00:00"}
+    publish(spark, [(99, "delivery_events", json.dumps(late))], f"{folder}/in")
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out", refresh_kpi=True, compact_every=100, buckets=64)
+    kpis = {r["batch_id"]: r for r in tables.kpis.collect()}
+    assert [kpis[n]["total_parcels"] for n in range(13)] == [*range(2, 25, 2), 24]
+    assert kpis[11]["delivered"] == 0 and kpis[12]["delivered"] == kpis[12]["high_risk"] == 1
+    want = store_queries.kpi_summary(tables.state).first()
+    assert {c: kpis[12][c] for c in want.asDict()} == want.asDict()
+    read = {}
+    for batch in (2, 11):
+        incoming = spark.read.parquet(f"{folder}/out/incoming/batch_id={batch}")
+        buckets = tower.touched_buckets(incoming, "parcel_id", 64)
+        read[batch] = tables.facts(batch - 1).filter(F.col("bucket").isin(buckets)).count()
+        before = spark.read.parquet(f"{folder}/out/before/batch_id={batch}")
+        plan = tower.kpi_sums(tables, before, batch)._jdf.queryExecution().toString()
+        assert "facts/batch_id=" in plan and "generation" not in plan
+    assert max(read.values()) <= 3  # of up to 22 parcels
+
+
+def test_kpi_turned_on_later_counts_everything(spark, folder):
+    messages = interleaved(6)
+    rows = encoded(messages)
+    publish(spark, rows[:80], f"{folder}/in")
+    run_tower(spark, f"{folder}/in", f"{folder}/out", buckets=4)
+    publish(spark, rows[80:120], f"{folder}/in")
+    publish(spark, rows[120:], f"{folder}/in")
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out", refresh_kpi=True)
+    want = store_queries.kpi_summary(tables.state).first().asDict()
+    got = tables.kpis.filter(F.col("batch_id") == 2).first().asDict()
+    assert {c: got[c] for c in want} == want
+
+
+def test_repeated_events_are_dropped_and_forgotten_behind_the_horizon(spark, folder):
+    def event(n, hours):
+        return {"event_id": f"E{n}", "parcel_id": "P1", "event_type": "in_transit", "hub_id": "H",
+                "event_timestamp": (datetime(2024, 1, 1) + timedelta(hours=hours)).isoformat()}
+
+    plan = {"parcel_id": "P1", "planned_pickup": "2024-01-01T08:00:00", "planned_delivery": "2024-01-01T12:00:00"}
+    no_id = {k: v for k, v in event(0, 1).items() if k != "event_id"}
+    batches = [
+        [("planned_shipments", plan), *[("delivery_events", event(n % 3, n % 3)) for n in range(9)]],
+        [("delivery_events", event(1, 1)), ("delivery_events", event(3, 30)), ("delivery_events", no_id),
+         ("delivery_events", no_id)],
+        [("delivery_events", event(1, 1)), ("delivery_events", event(3, 30)), ("delivery_events", event(4, 31))],
+    ]
+    n = 0
+    for batch in batches:
+        publish(spark, [(n := n + 1, t, json.dumps(p)) for t, p in batch], f"{folder}/in")
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out", dedup_days=1.0, buckets=4, compact_every=3)
+    got = sorted((r["batch_id"], r["event_id"] or "") for r in tables.log.select("batch_id", "event_id").collect())
+    # E1 of the last batch is a day older than E3, so it is not remembered any more.
+    assert got == [(0, "E0"), (0, "E1"), (0, "E2"), (1, ""), (1, ""), (1, "E3"), (2, "E1"), (2, "E4")]
+    assert [r["repeated"] for r in tables.counts.orderBy("batch_id").collect()] == [6, 1, 1]
+    assert not tables.has("seen/batch_id=0") and tables.has("seen/batch_id=1")
+    assert not tables.has("every/batch_id=0")
+
+
+def test_log_of_some_days_opens_their_folders_only(spark, folder):
+    messages = interleaved(5)
+    rows = encoded(messages)
+    publish(spark, rows[:80], f"{folder}/in")
+    publish(spark, rows[80:], f"{folder}/in")
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out", buckets=4)
+    days = Counter(r[0] for r in tables.log.select("event_day").collect())
+    manifest = tables.manifest.filter("name = 'delivery_events_log'")
+    assert {r["period"]: r["n"] for r in manifest.groupBy("period").agg(F.sum("rows").alias("n")).collect()} == days
+    first, last = min(days), max(days)
+    one = tables.log_of(first, first)
+    assert one.count() == days[first] and all(f"event_day={first}" in f for f in one.inputFiles())
+    assert store_queries.event_timeline(tables.log_of(first, last)).agg(F.sum("count")).first()[0] == sum(days.values())
+    assert tables.log_of(last + timedelta(days=9), last + timedelta(days=99)).count() == 0
+    by_day = store_queries.event_timeline(tables.log.filter(F.col("event_day") == F.lit(first)))
+    assert "event_day" in partition_filters(by_day)[0]
+    assert tables.periods("alerts").newest_first == sorted(
+        {r[0] for r in tables.alerts.select("created_day").distinct().collect()}, reverse=True)
+
+
 def test_one_file_gives_the_same_result(spark, folder):
     messages = interleaved(5)
     publish(spark, encoded(messages), f"{folder}/in")
@@ -160,7 +273,7 @@ def test_half_a_compaction_loses_no_parcel(spark, folder):
     check(tables, messages)
     batches = tables.published()
     assert len(tables.generations()) == 2 and batches >= 12
-    for step in ("incoming", "plan_versions", "handled"):
+    for step in ("incoming", "before", "merged", "handled"):
         assert not tables.has(f"{step}/batch_id=0")
     counts = tables.counts.agg(F.sum("plans"), F.sum("events")).first()
     assert sum(counts) == len(messages)
@@ -183,8 +296,10 @@ def test_the_stream_reads_its_source_once_and_needs_no_python(spark, folder):
     assert sum(p["numInputRows"] for p in query.recentProgress) == len(messages)
     tables = tower.TowerTables(spark, f"{folder}/out")
     incoming = spark.read.parquet(f"{folder}/out/incoming/batch_id=0")
-    plan = tower.plans_before(tables, incoming, 1)._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Pandas" not in plan
+    merged = spark.read.parquet(f"{folder}/out/merged/batch_id=0")
+    for df in (tower.facts_before(tables, incoming, 1, True), tower.plan_in_force(merged)):
+        plan = df._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Pandas" not in plan
 
 
 def test_plans_that_arrive_after_the_event_times_do_not_reset_the_status(spark, folder):
