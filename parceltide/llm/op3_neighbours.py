@@ -1,22 +1,23 @@
 """Nearest neighbours by a block matrix join with quantised tiles.
 
-Vectors are packed into blocks of int8 codes with their scales and norms. Query blocks meet
-candidate blocks in tiles; one integer matrix product per tile gives all inner products with a bound
-on their quantisation error. Pairs whose upper bound is below the k-th best lower bound of their
-query are dropped; the others are computed again in double precision on the original vectors. A task
-keeps one heap of k per query over the tiles it sees, and the heaps are merged by rank.
-
-The search is exact: bounds hold for every pair. Tiles pair a stated query set with all blocks; the
-grid ``BLOCK_ROWS`` x ``QUERY_ROWS`` bounds what a task holds.
-
-Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no
-part, nor do rows without an id. Only vectors of equal length are compared. Of rows that repeat an
-id the smallest vector stands for all. Ties go to the smaller id. An empty table gives no rows.
+Vectors are packed into blocks of int8 codes with their scales, norms and rounding errors. Query blocks
+meet candidate blocks in tiles; one matrix product of the codes, exact in single precision, gives all inner
+products with a bound on their quantisation error. Pairs whose upper bound is below the k-th best lower bound
+of their query are dropped, within a task first, then over all tasks; only those that are left fetch their
+original vectors and are computed again in double precision.
+
+Only codes travel to the tiles. Candidate blocks are dealt to groups, and each query block is sent to every
+group of its length, so there are as many tasks as groups, however few query blocks there are. A stated query set
+against all rows in blocks is the method; ``BLOCK_ROWS`` x ``QUERY_ROWS`` bounds a tile.
+
+The search is exact: bounds hold for every pair. Defined cases: vectors that are null, empty, zero, or hold null
+or non-finite components take no part, nor do rows without an id. Only vectors of equal length are compared. All
+different vectors of a repeated id are candidates, and queries if the id is one; an id is found once per
+query, with its best score, and never for itself. Ties go to the smaller id. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -28,150 +29,188 @@ from parceltide.llm import common
 
 K = 20
 QUERY_EVERY = 20
-BLOCK_ROWS = 4096
-QUERY_ROWS = 1024
+BLOCK_ROWS = 2048
+QUERY_ROWS = 512
 LEVELS = 127
+EXACT_DIMS = (1 << 24) // LEVELS ** 2  # products of so many codes add up exactly in single precision
 
-BLOCK_SCHEMA = "dim int, ids binary, vectors binary"
+_PARTS = ("rows", "ids", "codes", "scale", "error", "norm")
+BLOCK_SCHEMA = "dim int, " + ", ".join(f"{name} binary" for name in _PARTS)
+_PAIRS = "q_row bigint, query_id bigint, c_row bigint, vec_id bigint, low double, high double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding as array of double): one row per id, usable vectors only."""
+    """(vec_id, embedding as array of double): usable vectors, each of an id once."""
     values = F.col("embedding").cast("array<double>")
     good = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(
         "embedding", lambda x: x != 0.0)
     return (
         vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), values.alias("embedding"))
-        .filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(good)
-        .groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+        .filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(good).distinct()
     )
 
 
+def quantised(rows: list[int], ids: list[int], exact: np.ndarray) -> list[bytes]:
+    """The parts of a block, sorted by id: row numbers, ids, int8 codes, scales, norms of the rounding errors and
+    of the vectors."""
+    order = np.argsort(np.array(ids, dtype=np.int64), kind="stable")
+    exact = exact[order]
+    scale = np.abs(exact).max(axis=1) / LEVELS
+    scale[scale == 0] = 1.0  # too small to be divided
+    codes = np.rint(exact / scale[:, None])
+    error = exact - codes * scale[:, None]
+    # A little above the computed norms, so that rounding cannot turn a bound into a non-bound.
+    norms = [np.sqrt((x * x).sum(axis=1)) * (1 + 1e-9) for x in (error, exact)]
+    return [x.tobytes() for x in (np.array(rows, dtype=np.int64)[order], np.array(ids, dtype=np.int64)[order],
+                                  codes.astype(np.int8), scale, *norms)]
+
+
 def blocks(vectors: DataFrame, rows: int) -> DataFrame:
-    """Vectors packed, ``rows`` to a block at most; blocks do not cross partitions."""
+    """Vectors (row, vec_id, embedding) packed and quantised, ``rows`` to a block at most; blocks do not cross
+    partitions."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
+        waiting: dict[int, list[tuple[int, int, np.ndarray]]] = defaultdict(list)
 
         def block(dim: int) -> pa.RecordBatch:
-            taken = waiting.pop(dim)
-            ids = np.array([i for i, _ in taken], dtype=np.int64)
-            matrix = np.stack([v for _, v in taken])
+            numbers, ids, taken = zip(*waiting.pop(dim), strict=True)
+            parts = quantised(list(numbers), list(ids), np.stack(taken))
             return pa.RecordBatch.from_arrays(
-                [pa.array([dim], pa.int32()), pa.array([ids.tobytes()], pa.binary()),
-                 pa.array([matrix.tobytes()], pa.binary())], ["dim", "ids", "vectors"])
+                [pa.array([dim], pa.int32()), *(pa.array([x], pa.binary()) for x in parts)], ["dim", *_PARTS])
 
         for batch in batches:
-            lists = batch.column(1)
+            lists = batch.column(2)
             flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            for i, vec_id in enumerate(batch.column(0).to_pylist()):
+            for i, (row, vec_id) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 vector = flat[ends[i]:ends[i + 1]]
-                waiting[len(vector)].append((vec_id, vector))
+                waiting[len(vector)].append((row, vec_id, vector))
                 if len(waiting[len(vector)]) == rows:
                     yield block(len(vector))
         for dim in list(waiting):
             yield block(dim)
 
-    return vectors.select("vec_id", "embedding").mapInArrow(pack, BLOCK_SCHEMA)
+    return vectors.select("row", "vec_id", "embedding").mapInArrow(pack, BLOCK_SCHEMA)
 
 
-class Quantised:
-    """A block with int8 codes, scales, norms and the norms of the rounding errors."""
+class Block:
+    """A block read back from its parts."""
 
-    def __init__(self, ids: bytes, vectors: bytes, dim: int):
-        self.ids = np.frombuffer(ids, dtype=np.int64)
-        self.exact = np.frombuffer(vectors, dtype=np.float64).reshape(-1, dim)
-        peak = np.abs(self.exact).max(axis=1)
-        self.scale = np.where(peak > 0, peak, 1.0) / LEVELS
-        codes = np.rint(self.exact / self.scale[:, None])
-        self.codes = codes.astype(np.int8)
-        error = self.exact - codes * self.scale[:, None]
-        # A little above the computed norms, so that rounding cannot turn a bound into a non-bound.
-        self.error = np.sqrt((error * error).sum(axis=1)) * (1 + 1e-9)
-        self.norm = np.sqrt((self.exact * self.exact).sum(axis=1)) * (1 + 1e-9)
+    def __init__(self, dim: int, rows: bytes, ids: bytes, codes: bytes, scale: bytes, error: bytes, norm: bytes):
+        self.rows, self.ids = (np.frombuffer(x, dtype=np.int64) for x in (rows, ids))
+        self.codes = np.frombuffer(codes, dtype=np.int8).reshape(-1, dim)
+        self.scale, self.error, self.norm = (np.frombuffer(x, dtype=np.float64) for x in (scale, error, norm))
 
 
-def tile(q: Quantised, c: Quantised, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of the tile that may be among the k best: query row, candidate row, exact score.
-    ``floor`` holds per query a score that k known candidates reach."""
-    # Products of codes stay below 2**53, so doubles add them exactly.
-    near = (q.codes.astype(np.float64) @ c.codes.T.astype(np.float64)) * q.scale[:, None] * c.scale[None, :]
-    # |<x,y> - <x',y'>| <= |x-x'| |y| + |x'| |y-y'| and |x'| <= |x| + |x-x'|
-    bound = q.error[:, None] * c.norm[None, :] + (q.norm + q.error)[:, None] * c.error[None, :]
-    bound += 1e-9 * (q.norm[:, None] * c.norm[None, :])
-    low = near - bound
-    own = q.ids[:, None] == c.ids[None, :]
-    low[own] = -np.inf
-    if low.shape[1] > k:
-        floor = np.maximum(floor, np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k])
-    rows, cols = np.nonzero((near + bound >= floor[:, None]) & ~own)
-    scores = np.empty(len(rows))
-    for at in range(0, len(rows), 65536):
-        part = slice(at, at + 65536)
-        # Components first, so the sum runs over them in order, one after the other.
-        scores[part] = (q.exact[rows[part]].T * c.exact[cols[part]].T).sum(axis=0)
-    return rows, cols, scores
+def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner products of int8 codes: single precision adds those of ``EXACT_DIMS`` components exactly."""
+    out = np.zeros((len(q), len(c)))
+    for at in range(0, q.shape[1], EXACT_DIMS):
+        part = slice(at, at + EXACT_DIMS)
+        out += q[:, part].astype(np.float32) @ c[:, part].astype(np.float32).T
+    return out
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score of the k nearest candidates per query."""
-    rows = common.written(usable(vectors), "vectors")
-    found = common.written(blocks(rows, BLOCK_ROWS), "vector-blocks")
-    queries = common.written(blocks(rows.filter(is_query).repartition(
-        max(1, -(-rows.filter(is_query).count() // QUERY_ROWS))), QUERY_ROWS), "query-blocks")
-    numbered = queries.withColumn("q", F.monotonically_increasing_id())
-    # Each candidate block meets every query block: the grid of the matrix product.
-    grid = numbered.select("dim", "q").join(
-        found.select("dim", "ids", "vectors"), "dim").repartition("q").join(
-        numbered.select("q", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")), "q")
-    return merge(grid.mapInArrow(_heaps(k), "query_id bigint, vec_id bigint, score double"), k)
-
-
-def _heaps(k: int):
+def bounds(q: Block, c: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of all inner products of two blocks."""
+    near = products(q.codes, c.codes) * q.scale[:, None] * c.scale[None, :]
+    # |<x,y> - <x',y'>| <= |x-x'| |y| + |x'| |y-y'| and |x'| <= |x| + |x-x'|
+    apart = q.error[:, None] * c.norm[None, :] + (q.norm + q.error)[:, None] * c.error[None, :]
+    apart += 1e-9 * (q.norm[:, None] * c.norm[None, :])
+    # Where products overflow nothing is known.
+    return np.nan_to_num(near - apart, nan=-np.inf, posinf=-np.inf, neginf=-np.inf), np.nan_to_num(
+        near + apart, nan=np.inf, posinf=np.inf, neginf=np.inf)
+
+
+class Floors:
+    """Per query of a block the k best lower bounds of different ids so far."""
+
+    def __init__(self, queries: int, k: int):
+        self.k = k
+        self.best: list[dict[int, float]] = [{} for _ in range(queries)]
+        self.floor = np.full(queries, -np.inf)
+
+    def take(self, low: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The floors after a tile with lower bounds ``low``; equal ids lie next to each other."""
+        starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+        by_id = low if len(starts) == len(ids) else np.maximum.reduceat(low, starts, axis=1)
+        names, k = ids[starts], min(self.k, by_id.shape[1])
+        top = np.argpartition(by_id, by_id.shape[1] - k, axis=1)[:, by_id.shape[1] - k:]
+        values = np.take_along_axis(by_id, top, axis=1)
+        for i in np.flatnonzero(values.max(axis=1) > self.floor).tolist():
+            best = self.best[i]
+            for vec_id, value in zip(names[top[i]].tolist(), values[i].tolist(), strict=True):
+                if value > best.get(vec_id, -np.inf):
+                    best[vec_id] = value
+            if len(best) >= self.k:
+                kept = sorted(best.items(), key=lambda x: -x[1])[:self.k]
+                self.best[i], self.floor[i] = dict(kept), kept[-1][1]
+        return self.floor
+
+
+def _tiles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heaps: dict[int, list[tuple[float, int]]] = defaultdict(list)
+        floors: dict[int, Floors] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                q = Quantised(row["q_ids"], row["q_vectors"], row["dim"])
-                c = Quantised(row["ids"], row["vectors"], row["dim"])
-                floor = np.array([heaps[i][0][0] if len(heaps[i]) == k else -np.inf for i in q.ids.tolist()])
-                for r, col, score in zip(*(x.tolist() for x in tile(q, c, floor, k)), strict=True):
-                    entry = (score, -int(c.ids[col]))
-                    heap = heaps[int(q.ids[r])]
-                    if len(heap) < k:
-                        heapq.heappush(heap, entry)
-                    elif entry > heap[0]:
-                        heapq.heapreplace(heap, entry)
-        for query, heap in heaps.items():
-            if heap:
+                q = Block(row["dim"], *(row[f"q_{name}"] for name in _PARTS))
+                c = Block(row["dim"], *(row[name] for name in _PARTS))
+                low, high = bounds(q, c)
+                own = q.ids[:, None] == c.ids[None, :]
+                low[own], high[own] = -np.inf, -np.inf
+                floor = floors.setdefault(row["q"], Floors(len(q.ids), k)).take(low, c.ids)
+                at, to = np.nonzero((high >= floor[:, None]) & ~own)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([query] * len(heap), pa.int64()), pa.array([-i for _, i in heap], pa.int64()),
-                     pa.array([s for s, _ in heap], pa.float64())], ["query_id", "vec_id", "score"])
+                    [pa.array(x) for x in (q.rows[at], q.ids[at], c.rows[to], c.ids[to], low[at, to], high[at, to])],
+                    [field.split()[0] for field in _PAIRS.split(", ")])
 
     return run
 
 
-def merge(found: DataFrame, k: int) -> DataFrame:
+def grid(queries: DataFrame, candidates: DataFrame, groups: int) -> DataFrame:
+    """Every query block next to every candidate block of its length, dealt by candidate group."""
+    sent = queries.withColumn("q", F.monotonically_increasing_id()).withColumn(
+        "g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    sent = sent.select("dim", "g", "q", *[F.col(c).alias(f"q_{c}") for c in _PARTS])
+    dealt = candidates.withColumn("g", F.pmod(F.xxhash64("rows"), F.lit(groups)).cast("int"))
+    return sent.join(dealt, ["dim", "g"])
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
+    """query_id, rank, vec_id, score of the k nearest candidates per query."""
+    rows = common.written(usable(vectors).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    candidates = common.written(blocks(rows, BLOCK_ROWS), "vector-blocks")
+    asked = rows.filter(is_query)
+    queries = common.written(blocks(asked.repartition(max(1, -(-asked.count() // QUERY_ROWS))), QUERY_ROWS), "query-blocks")
+    pairs = common.written(grid(queries, candidates, max(1, candidates.count())).mapInArrow(_tiles(k), _PAIRS), "near-pairs")
+    # Over all tasks: the k-th best lower bound of different ids is a floor for the upper bounds.
+    ranked = pairs.groupBy("query_id", "vec_id").agg(F.max("low").alias("low")).withColumn(
+        "nth", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("low"))))
+    floor = ranked.filter(F.col("nth") == k).select("query_id", F.col("low").alias("floor"))
+    left = pairs.join(floor, "query_id", "left").filter(F.col("floor").isNull() | (F.col("high") >= F.col("floor")))
+    side = lambda n: rows.select(F.col("row").alias(f"{n}_row"), F.col("embedding").alias(f"{n}_vector"))
+    exact = left.select("q_row", "query_id", "c_row", "vec_id").join(side("q"), "q_row").join(side("c"), "c_row")
+    # Components are added in order, one after the other.
+    score = F.aggregate(F.zip_with("q_vector", "c_vector", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    best = exact.select("query_id", "vec_id", score.alias("score")).groupBy("query_id", "vec_id").agg(
+        F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select(
+    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
     return search(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0)
 
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, min(embedding::DOUBLE[]) AS e FROM embeddings
+  SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-  GROUP BY vec_id),
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e))
+  SELECT q.vec_id AS query_id, c.vec_id, max(list_dot_product(q.e, c.e)) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e) GROUP BY ALL)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 20

@@ -117,6 +117,64 @@ def test_neighbours_edges(spark):
     assert op3.search(vectors.filter("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def brute_neighbours(rows, k, every=20):
+    good = {(i, tuple(v)) for i, v in rows if i is not None and v and all(
+        x is not None and np.isfinite(x) for x in v) and any(v)}
+    best = defaultdict(dict)
+    for q, x in good:
+        for c, y in good:
+            if q % every == 0 and c != q and len(x) == len(y):
+                score = 0.0
+                for a, b in zip(x, y, strict=True):
+                    score += a * b
+                best[q][c] = max(best[q].get(c, -np.inf), score)
+    return {(q, n + 1, c, score) for q, found in best.items()
+            for n, (c, score) in enumerate(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:k])}
+
+
+def test_neighbours_of_repeated_ids(spark):
+    """All vectors of an id count, and it is found once; a full list of one id's rows hides no other id."""
+    rows = [(1, [0.5, 0.5]), (1, [0.9, 0.1]), (0, [1.0, 0.0]), *((7, [0.8 + i / 1000, 0.0]) for i in range(50)), (8, [0.1, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    rows += [(9, [1e300, 1e300]), (20, [1e300, 1e-320]), (30, [1e-320, 0.0])]  # products that overflow or vanish
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    for k in (2, 3, 20):
+        got = op3.search(vectors, F.col("vec_id") % 20 == 0, k).collect()
+        assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == brute_neighbours(rows, k)
+
+
+def test_neighbours_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(op3, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(op3, "QUERY_ROWS", 8)
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(0, 150)), [float(x) for x in rng.normal(size=int(d)) * 10.0 ** rng.integers(-3, 4)])
+            for d in rng.choice([1, 3, 5], 260)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    got = op3.search(vectors, F.col("vec_id") % 20 == 0, 7).collect()
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == brute_neighbours(rows, 7)
+
+
+def test_neighbour_tiles_use_codes_only_and_more_tasks_than_query_blocks(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(op3, "BLOCK_ROWS", 64)
+    rows = common.written(op3.usable(common.table(spark, sf_dir, "embeddings")).withColumn(
+        "row", F.monotonically_increasing_id()), "vectors")
+    candidates = common.written(op3.blocks(rows, 64), "blocks")
+    queries = common.written(op3.blocks(rows.filter("vec_id % 20 = 0").coalesce(1), 1024), "queries")
+    grid = op3.grid(queries, candidates, candidates.count())
+    assert queries.count() == 1 and grid.select("g").distinct().count() > 1
+    assert grid.count() == candidates.count()  # every candidate block meets the query block once
+    dim = candidates.first()["dim"]
+    assert all(len(r["codes"]) == len(r["ids"]) // 8 * dim for r in candidates.collect())  # a byte a component
+
+
+def test_products_of_codes_are_exact():
+    rng = np.random.default_rng(5)
+    for dim in (3, op3.EXACT_DIMS, 3 * op3.EXACT_DIMS + 1):
+        q, c = (rng.choice([-127, 127], (4, dim)).astype(np.int8) for _ in range(2))
+        q[0] = c[0] = 127
+        assert (op3.products(q, c) == q.astype(np.int64) @ c.astype(np.int64).T).all()
+
+
 # --- 4: Jaccard ------------------------------------------------------------------------------
 
 
