@@ -31,6 +31,15 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_position(docs: DataFrame, *needed: str) -> DataFrame:
+    """``docs`` with its columns named ``_own_0``, ``_own_1`` and so on, and the ``needed`` ones next to them, so that no
+    name of the input can meet one of an operator's own, whatever its case."""
+    names = [c.lower() for c in docs.columns]
+    wide = docs.toDF(*(f"_own_{i}" for i in range(len(names))))
+    return wide.select("*", *[F.col(f"_own_{docs.columns.index(c) if c in docs.columns else names.index(c)}").alias(c)
+                              for c in needed])
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

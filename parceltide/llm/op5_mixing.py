@@ -153,12 +153,10 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:  # noqa: B008
 def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:  # noqa: B008
     """The taken documents themselves, with the columns of ``docs``, once per copy."""
     leaf_plan = plan(common.written(digest(docs), "mix-digest"), mix)
-    own = [*LEVELS, "n_tokens", "text_md5", "copies", "supply", "budget", "epochs", "cell", "cut", "copy_no"]
-    names = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c in own}
-    rows = leaves(docs.withColumnsRenamed(names)).withColumn("text_md5", F.md5(common.text_or_empty()))
-    back = [F.col(names.get(c, c)).alias(c) for c in docs.columns]
-    return take(rows, leaf_plan, mix).withColumn(
-        "copy_no", F.explode(F.expr("sequence(1L, copies)"))).select(*back)
+    names, rows = docs.columns, common.by_position(docs, "doc_id", "text", "lang", "source")
+    taken = take(leaves(rows).withColumn("text_md5", F.md5(common.text_or_empty())), leaf_plan, mix)
+    return taken.withColumn("copy_no", F.explode(F.expr("sequence(1L, copies)"))).select(
+        *[F.col(f"_own_{i}") for i in range(len(names))]).toDF(*names)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,8 +50,9 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
     """Every column of ``docs`` with ``shard`` and ``slot``; needs ``doc_id`` and ``text``."""
     spark = docs.sparkSession
     identity = [F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))]
-    kept = docs.select(*[c for c in docs.columns if c not in ("shard", "slot")])
-    keyed = kept.withColumn("_k1", _key(seed, *identity)).withColumn("_k2", _key(seed + 1, *identity))
+    rows = common.by_position(docs, "doc_id", "text")
+    keyed = rows.withColumn("_k1", _key(seed, *identity)).withColumn("_k2", _key(seed + 1, *identity))
+    kept = [i for i, c in enumerate(docs.columns) if c.lower() not in ("shard", "slot")]
     total = docs.count()
     parts = max(LEAST_PARTITIONS, -(-total // partition_rows))
     cells = max(1, -(-parts // shards))
@@ -69,7 +70,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
         .withColumn("shard", F.size(F.filter("_ends", lambda e: e < F.col("_at"))))
         .withColumn("_k3", _key(seed + 3, F.col("_k2"), F.col("shard")))
         .withColumn("_cell", F.pmod(_key(seed + 4, F.col("_k3")), F.lit(cells)).cast("int"))
-        .drop("_p", "_ends", "_at", "_k1")
+        .drop("_p", "_ends", "_at", "_k1", "text")
     )
     moved = common.written(moved, "sharding")
     cell = Window.partitionBy("shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -79,7 +80,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
     return (
         moved.withColumn("_i", inside).join(offsets, ["shard", "_cell"])
         .withColumn("slot", F.col("_before") + F.col("_i") - 1)
-        .select(*kept.columns, "shard", "slot")
+        .select(*[F.col(f"_own_{i}") for i in kept], "shard", "slot").toDF(*[docs.columns[i] for i in kept], "shard", "slot")
     )
 
 

@@ -369,6 +369,20 @@ def test_shards(spark, sf_dir, odd_docs, no_docs):
     assert op7.shard_rows(no_docs).count() == 0
 
 
+OWN_NAMES = ["_k1", "_k2", "_k3", "_p", "_ends", "_at", "_cell", "_i", "_n", "_before", "Domain", "leaf_LANG", "copies",
+             "cell", "key", "size", "Text_md5", "_own_0", "SHARD"]
+
+
+def test_columns_named_like_the_operators_own_keep_their_values(odd_docs):
+    names = [*OWN_NAMES, *[c for c in odd_docs.columns if c != "shard"]]
+    docs = odd_docs.select(*[F.lit(f"<{c}>").alias(c) for c in OWN_NAMES], *names[len(OWN_NAMES):])
+    for got in (op7.shard_rows(docs), op5.mixed_documents(docs), op4.one_of_each(docs)):
+        kept = [c for c in OWN_NAMES if c in got.columns]
+        assert [c for c in got.columns if c in names] == [c for c in names if c != "SHARD" or c in got.columns]
+        rows = got.select(*[F.col(f"`{c}`") for c in kept]).collect()
+        assert rows and all(r[c] == f"<{c}>" for r in rows for c in kept)
+
+
 def test_communication_matrix():
     rows = [7, 0, 100, 13]
     matrix = op7.communication_matrix(rows, 40, 1)
