@@ -210,6 +210,42 @@ def test_jaccard(spark, sf_dir, odd_docs, no_docs):
     assert op4.join_components(no_docs).count() == 0
 
 
+def crowded(spark):
+    """A large group of near copies, some just out of reach of each other, and a passage that many texts share."""
+    rng = np.random.default_rng(9)
+    word = lambda: f"w{rng.integers(0, 10 ** 6)}"
+    base, passage = [word() for _ in range(90)], [word() for _ in range(25)]
+    rows = []
+    for n in range(140):
+        text = list(base)
+        for at in rng.choice(len(base), int(rng.integers(0, 6)), replace=False):
+            text[at] = word()
+        rows.append((n, " ".join(text)))
+    for n in range(80):
+        rows.append((200 + n, " ".join([*(word() for _ in range(int(rng.integers(3, 30)))), *passage])))
+    return spark.createDataFrame(rows * 2, "doc_id bigint, text string")
+
+
+@pytest.mark.parametrize("like", [op4.QUERY, op4.Likeness(5, 80)])
+@pytest.mark.parametrize("first", [0, 8])
+def test_open_buckets_lose_no_link(spark, monkeypatch, like, first):
+    monkeypatch.setattr(op4, "FIRST_BUCKETS", max(first, 1))
+    docs = crowded(spark)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    sets = [op4.word_shingles(t.encode(), like) for _, t in rows]
+    least = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            shared = len(a & sets[j])
+            if 100 * shared >= like.percent * (len(a) + len(sets[j]) - shared) and least[i] != least[j]:
+                old, new = max(least[i], least[j]), min(least[i], least[j])
+                least = [new if x == old else x for x in least]
+    want = Counter((doc_id, len(found), rows[g][0]) for (doc_id, _), found, g in zip(rows, sets, least, strict=True))
+    assert 5 < len({g for *_, g in want}) < 215  # neither all apart nor all together
+    got = op4.join_components(docs, like).select("doc_id", "n_shingles", "component_id").collect()
+    assert Counter(map(tuple, got)) == want
+
+
 def test_no_linked_pair_misses_a_bucket():
     """The pigeonhole holds for every split: pairs just at the threshold always meet."""
     rng = np.random.default_rng(1)
