@@ -27,6 +27,7 @@ while another id does, repeated rows get repeated results, an empty table gives
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from hashlib import blake2b
 from typing import NamedTuple
 
@@ -47,7 +48,7 @@ SEGMENTS_FROM = 90
 SAMPLE_TEXTS = 4000
 MOST_FREQUENT = 50_000
 _SEEN = 100_000
-FIRST_BUCKETS = 8  # of a set's open buckets, those that tell where else a pair meets
+FIRST_BUCKETS = 4  # of a set's open buckets, those that tell where else a pair meets
 RUNTIME_FILTER = {
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
@@ -267,14 +268,20 @@ def index_entries(docs: DataFrame, entries_of: Callable[[np.ndarray], tuple[np.n
 # --- candidates and verification -------------------------------------------------------------
 
 
-def _sketches_apart(x: str, y: str, like: Likeness) -> Column:
+def _sketches_apart(x: str, y: str, longs: int) -> Column:
     return sum((F.bit_count(F.get(f"p_{x}", F.lit(i)).bitwiseXOR(F.get(f"p_{y}", F.lit(i))))
-                for i in range(like.parity_longs)), F.lit(0))
+                for i in range(longs)), F.lit(0))
 
 
-def _close(x: str, y: str, like: Likeness) -> Column:
-    """What sizes and sketches leave possible; columns n_*, p_* of both sides."""
-    apart = _sketches_apart(x, y, like)
+def _folded(like: Likeness) -> Column:
+    """The parity sketch laid over itself: a sketch of ``PARITY_LONGS``, whose distance is no larger."""
+    return F.array(*[reduce(Column.bitwiseXOR, [F.get("parity", F.lit(i)) for i in range(at, like.parity_longs, PARITY_LONGS)])
+                     for at in range(PARITY_LONGS)])
+
+
+def _close(x: str, y: str, like: Likeness, longs: int) -> Column:
+    """What sizes and sketches of so many longs leave possible; columns n_*, p_* of both sides."""
+    apart = _sketches_apart(x, y, longs)
     small, large = F.least(f"n_{x}", f"n_{y}"), F.greatest(f"n_{x}", f"n_{y}")
     both = F.col(f"n_{x}") + F.col(f"n_{y}")
     return (small * 100 >= large * like.percent) & (apart * (100 + like.percent) <= both * (100 - like.percent))
@@ -304,8 +311,10 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, like: Likeness) -> DataFra
     side = lambda n: classes.select(
         F.col("sid").alias(n), F.col("key").alias(f"key_{n}"), F.col("n_shingles").alias(f"n_{n}"),
         F.col("parity").alias(f"p_{n}"), F.col("place").alias(f"place_{n}"))
-    return pairs.join(side("x"), "x").join(side("y"), "y").filter(_close("x", "y", like)).select(
-        "key_x", "key_y", *(c for n in "xy" for c in (f"place_{n}", f"n_{n}")), _sketches_apart("x", "y", like).alias("apart"))
+    return pairs.join(side("x"), "x").join(side("y"), "y").filter(
+        _close("x", "y", like, like.parity_longs)).select(
+        "key_x", "key_y", *(c for n in "xy" for c in (f"place_{n}", f"n_{n}")),
+        _sketches_apart("x", "y", like.parity_longs).alias("apart"))
 
 
 def verified(near: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
@@ -337,6 +346,7 @@ def united(near: DataFrame, named: DataFrame | None, docs: DataFrame, like: Like
     if not first.head(1):
         return named
     named = _with_links(named, verified(first, docs, like))
+    common.release(docs.sparkSession)
     component = lambda n: named.select(
         F.col("node").alias(f"key_{n}"), F.col("component").alias(f"component_{n}"))
     rest = near.join(first.select("key_x", "key_y"), ["key_x", "key_y"], "left_anti").join(
@@ -379,31 +389,38 @@ def allocated(classes: DataFrame, like: Likeness) -> list[Band]:
 
 def open_pairs(members: DataFrame, classes: DataFrame, named: DataFrame, like: Likeness) -> DataFrame:
     """Pairs (x, y) that may link within buckets whose sets lie in several components: y is outside the hub's
-    component, x is in any other. The sketches are compared within the join, and a pair that meets in one of the first
+    component, x is in any other. Folded sketches are compared within the join, and a pair that meets in one of the first
     buckets of both sets comes from the smallest of those only."""
-    ids = classes.select("key", "sid", "n_shingles", "parity").join(
-        named, F.col("key") == F.col("node"), "left").select(
-        "sid", F.coalesce("component", "key").alias("component"), "n_shingles", "parity")
+    ids = common.written(classes.join(named, F.col("key") == F.col("node"), "left").select(
+        "sid", F.xxhash64(F.coalesce("component", "key")).alias("component"), "n_shingles", _folded(like).alias("parity")),
+        "set-ids")
     placed = members.join(ids.select("sid", "component"), "sid")
-    several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
-        "low <> high").select("bucket")
-    still_open = common.written(members.join(several, "bucket"), "open-buckets")
+    several = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.min(F.when(F.col("sid") == F.col("hub"), F.col("component"))).alias("hub_component")).filter(
+        "low <> high").select("bucket", "hub_component")
+    still_open = common.written(placed.join(several, "bucket").select(
+        "bucket", "sid", "role", "component", (F.col("component") != F.col("hub_component")).alias("stray"),
+        (F.col("sid") == F.col("hub")).alias("is_hub")), "open-buckets")
+    common.release(members.sparkSession)
     held = still_open.filter(F.col("role") == (EXACT | OWN)).groupBy("sid").agg(
         F.slice(F.sort_array(F.collect_list("bucket")), 1, FIRST_BUCKETS).alias("first"))  # of the entries it made
-    unsettled = common.written(still_open.join(ids, "sid").join(held, "sid", "left"), "open-sets")
-    hubs = unsettled.filter("sid = hub").select("bucket", F.col("component").alias("hub_component")).distinct()
+    sketches = common.written(ids.drop("component").join(held, "sid"), "open-sketches")
+    # A set without an entry of both roles has no first buckets; the join below would lose it.
+    sketches = sketches.unionByName(ids.drop("component").join(held.select("sid"), "sid", "left_anti").join(
+        still_open.select("sid").distinct(), "sid", "left_semi").withColumn("first", F.array().cast("array<bigint>")))
+    unsettled = still_open.join(sketches, "sid")
     side = lambda n: [F.col("sid").alias(n), F.col("role").alias(f"role_{n}"), F.col("component").alias(
         f"component_{n}"), F.col("n_shingles").alias(f"n_{n}"), F.col("parity").alias(f"p_{n}"),
         F.col("first").alias(f"first_{n}")]
-    with_hub = unsettled.join(hubs, "bucket").withColumn("stray", F.col("component") != F.col("hub_component"))
-    strays = with_hub.filter("stray").select(F.col("bucket").alias("bucket_y"), *side("y"))
-    others = with_hub.filter("sid <> hub").select(F.col("bucket").alias("bucket_x"), "stray", *side("x"))
+    strays = unsettled.filter("stray").select(F.col("bucket").alias("bucket_y"), *side("y"))
+    others = unsettled.filter(~F.col("is_hub")).select(F.col("bucket").alias("bucket_x"), "stray", *side("x"))
     once = ~F.col("stray") | (F.col("x") < F.col("y"))  # of two strays one is y
     # In both sets' first buckets any two sets may link, so the smallest that they share makes the pair.
     earlier = F.array_min(F.array_intersect("first_x", "first_y")) < F.col("bucket_y")
     return strays.join(
         others, (F.col("bucket_x") == F.col("bucket_y")) & (F.col("component_x") != F.col("component_y")) & once
-        & _may_link("role_x", "role_y") & _close("x", "y", like)
+        & _may_link("role_x", "role_y") & _close("x", "y", like, PARITY_LONGS)
         & ~F.coalesce(earlier, F.lit(False))).select("x", "y").distinct()
 
 
@@ -426,16 +443,25 @@ def join_components(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
     else:
         bands = allocated(classes, like)
         index = index_entries(docs, lambda found: entries(found, bands, like), like)
+    spark = docs.sparkSession
+    index = common.written(index, "index")
     shared = index.groupBy("bucket").agg(F.min("sid").alias("hub"), F.max("sid").alias("last")).filter(
         "hub <> last").select("bucket", "hub")
     members = common.written(
         index.join(shared, "bucket").select("bucket", "hub", "sid", "role").distinct(), "buckets")
+    common.removed(index)
+    common.release(spark)
     pairs = members.filter("sid <> hub").select(F.col("hub").alias("x"), F.col("sid").alias("y")).distinct()
-    first = united(common.written(close_pairs(pairs, classes, like), "close-pairs"), None, docs, like)
+    near = common.written(close_pairs(pairs, classes, like), "close-pairs")
+    common.release(spark)
+    first = united(near, None, docs, like)
     if first is None:
         first = _no_components(classes)
-    last = united(common.written(close_pairs(open_pairs(members, classes, first, like), classes, like), "close-pairs"),
-                  first, docs, like)
+    late = common.written(open_pairs(members, classes, first, like), "open-pairs")
+    common.removed(members)
+    common.release(spark)
+    last = united(common.written(close_pairs(late, classes, like), "close-pairs"), first, docs, like)
+    common.release(spark)
 
     named = classes.select("key", "least").join(last, F.col("key") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "key"))
