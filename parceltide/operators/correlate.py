@@ -37,6 +37,11 @@ def with_delay(correlated: DataFrame) -> DataFrame:
     )
 
 
+def exceptional(events: DataFrame, plan: DataFrame, threshold: float = K.ALERT_THRESHOLD_MIN) -> DataFrame:
+    """Correlated events that are late or that no plan knows: what ``alerts_of`` and ``dead_letters_of`` start from."""
+    return correlate_events(events, plan).filter(~F.col("known") | (F.col("delay_minutes") > threshold))
+
+
 def alerts(
     events: DataFrame, plan: DataFrame, threshold: float = K.ALERT_THRESHOLD_MIN
 ) -> DataFrame:

@@ -18,6 +18,7 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(_sql(v) for v in row) + ")" for row in rows)
 
 
+# --- fixed values: mapping of the driver tables, thresholds and names as the store has them, here and below ---
 _ROUTE_MINUTES = (270, 450, 360, 150, 210, 240, 300)
 
 _CTE = {

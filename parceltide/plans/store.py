@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parceltide import schemas
 from parceltide.operators import correlate, golden, recent
+from parceltide.session import written
 from parceltide.sources import seeds
 
 
@@ -96,6 +97,9 @@ def build_store(spark: SparkSession, path: str, planned: DataFrame, events: Data
         .sortWithinPartitions("hub_id", "status"),
         "parcel_state",
     )
-    write_by_period(correlate.alerts(log, plan), "created_at", f"{path}/alerts", log_unit, "overwrite")
-    write_by_period(correlate.dead_letters(log, plan), "created_at", f"{path}/error_logs", log_unit, "overwrite")
+    # One pass over the log finds what either table needs.
+    found = written(correlate.exceptional(log, plan), "exceptional")
+    write_by_period(correlate.alerts_of(found.filter("known")), "created_at", f"{path}/alerts", log_unit, "overwrite")
+    write_by_period(correlate.dead_letters_of(found.filter(~F.col("known")).drop("ingested_at")), "created_at",
+                    f"{path}/error_logs", log_unit, "overwrite")
     return store
