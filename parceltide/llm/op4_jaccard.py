@@ -317,10 +317,52 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, like: Likeness) -> DataFra
         _sketches_apart("x", "y", like.parity_longs).alias("apart"))
 
 
+def sharp_sketch(found: np.ndarray) -> bytes:
+    """A parity sketch of at least two bits a shingle, a power of two long."""
+    bits = max(64, 1 << (2 * len(found) - 1).bit_length())
+    ones = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(ones.astype(np.uint8)).tobytes()
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """Of two sketches, the longer one folded to the length of the other: no more than the symmetric difference."""
+    a, b = (np.frombuffer(z, dtype=np.uint64) for z in sorted((x, y), key=len))
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def still_close(near: DataFrame, held: DataFrame, like: Likeness) -> DataFrame:
+    """(key_x, key_y) of the pairs that sketches in proportion to the sets leave possible. Sketches of fixed length say
+    little about large sets, and a text weighs ten times its sketch."""
+
+    def made(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingles(x.as_py(), like) for x in batch.column(1)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([len(x) for x in found], pa.int64()),
+             pa.array([sharp_sketch(x) for x in found], pa.binary())], ["key", "n", "sketch"])
+
+    sketches = common.written(common.per_batch(
+        held.select("key", F.col("text").cast("binary")), made, "key binary, n bigint, sketch binary"), "sharp-sketches")
+    side = lambda n: sketches.select(*[F.col(c).alias(f"{c}_{n}") for c in sketches.columns])
+    both = near.select("key_x", "key_y").join(side("x"), "key_x").join(side("y"), "key_y")
+
+    def check(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
+        mask = pa.array([sketch_distance(x, y) * (100 + like.percent) <= (n + m) * (100 - like.percent)
+                         for n, x, m, y in rows], pa.bool_())
+        return pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], ["key_x", "key_y"])
+
+    return common.per_batch(both.select("key_x", "key_y", "n_x", "sketch_x", "n_y", "sketch_y"), check,
+                            "key_x binary, key_y binary")
+
+
 def verified(near: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
-    """The linked ones of a written table of close pairs, as links (a, b) of keys."""
+    """The linked ones of a written table of close pairs, as links (a, b) of keys. Texts travel for those pairs only that
+    sharper sketches leave in doubt."""
     held = common.written(texts_of(near, docs, like), "close-texts")
-    both = near.select("key_x", "key_y").join(
+    doubtful = common.written(still_close(near, held, like), "doubtful-pairs")
+    both = doubtful.join(
         held.select(F.col("key").alias("key_x"), F.col("text").cast("binary").alias("text_x")), "key_x").join(
         held.select(F.col("key").alias("key_y"), F.col("text").cast("binary").alias("text_y")), "key_y")
 

@@ -210,6 +210,18 @@ def test_jaccard(spark, sf_dir, odd_docs, no_docs):
     assert op4.join_components(no_docs).count() == 0
 
 
+def test_sharp_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(11)
+    for n in (1, 5, 63, 64, 1000, 3000):
+        x = np.unique(rng.integers(1, 1 << 62, n, dtype=np.uint64))
+        for m in (0, n // 9, n // 3, 2 * n):
+            y = np.unique(np.concatenate((x[m:], rng.integers(1, 1 << 62, m, dtype=np.uint64))))
+            if len(y):
+                apart = len(np.setxor1d(x, y))
+                distance = op4.sketch_distance(op4.sharp_sketch(x), op4.sharp_sketch(y))
+                assert distance <= apart and (2 * distance >= apart or apart > n)
+
+
 def crowded(spark):
     """A large group of near copies, some just out of reach of each other, and a passage that many texts share."""
     rng = np.random.default_rng(9)
