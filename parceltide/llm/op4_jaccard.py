@@ -487,8 +487,9 @@ def join_components(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
         index = index_entries(docs, lambda found: entries(found, bands, like), like)
     spark = docs.sparkSession
     index = common.written(index, "index")
-    shared = index.groupBy("bucket").agg(F.min("sid").alias("hub"), F.max("sid").alias("last")).filter(
-        "hub <> last").select("bucket", "hub")
+    shared = common.written(index.groupBy("bucket").agg(F.min("sid").alias("hub"), F.max("sid").alias("last")).filter(
+        "hub <> last").select("bucket", "hub"), "shared-buckets")
+    common.release(spark)  # before the join shuffles the index again
     members = common.written(
         index.join(shared, "bucket").select("bucket", "hub", "sid", "role").distinct(), "buckets")
     common.removed(index)
