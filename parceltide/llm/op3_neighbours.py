@@ -181,7 +181,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     candidates = common.written(blocks(rows, BLOCK_ROWS), "vector-blocks")
     asked = rows.filter(is_query)
     queries = common.written(blocks(asked.repartition(max(1, -(-asked.count() // QUERY_ROWS))), QUERY_ROWS), "query-blocks")
-    pairs = common.written(grid(queries, candidates, max(1, candidates.count())).mapInArrow(_tiles(k), _PAIRS), "near-pairs")
+    # Each group keeps its own k best of a query, so there are no more groups than keep the cores busy.
+    groups = max(1, min(candidates.count(), 2 * vectors.sparkSession.sparkContext.defaultParallelism))
+    pairs = common.written(grid(queries, candidates, groups).mapInArrow(_tiles(k), _PAIRS), "near-pairs")
     # Over all tasks: the k-th best lower bound of different ids is a floor for the upper bounds.
     ranked = pairs.groupBy("query_id", "vec_id").agg(F.max("low").alias("low")).withColumn(
         "nth", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("low"))))
