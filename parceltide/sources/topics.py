@@ -60,7 +60,10 @@ def stream_to_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: s
 
 
 def publish_files(messages: DataFrame, path: str) -> None:
-    messages.select(*schemas.TOPIC_MESSAGE.names).write.mode("append").json(path)
+    """Append message files. They are compressed, quickly rather than well: field names and keys repeat in every
+    message, and a file is read by one task anyway."""
+    messages.select(*schemas.TOPIC_MESSAGE.names).write.mode("append").option("compression", "gzip").option(
+        "zlib.compress.level", "BEST_SPEED").json(path)
 
 
 def read_file_topic(spark: SparkSession, path: str) -> DataFrame:
