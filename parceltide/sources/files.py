@@ -20,6 +20,7 @@ _ARRIVAL = "struct<file_time timestamp, file string, block bigint, row bigint>"
 
 
 _HEADER_READERS = 16
+_ROWS_PER_FILE = 1_000_000
 
 
 def files_by_header(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
@@ -53,6 +54,12 @@ def files_by_header(spark: SparkSession, path: str) -> dict[str | None, list[str
     return groups
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV files with headers, quickly compressed. A compressed file is read by one task, so files are many."""
+    df.write.option("header", True).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option(
+        "maxRecordsPerFile", _ROWS_PER_FILE).csv(path)
+
+
 def read_csv_groups(spark: SparkSession, path: str, multiline: bool = False,
                     with_arrival: bool = False) -> list[DataFrame]:
     """CSV files with headers, every column as text: one DataFrame for all files with the same header line, so that

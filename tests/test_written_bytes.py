@@ -4,10 +4,12 @@ import glob
 
 from pyspark.sql import functions as F
 
+from parceltide import constants as K
 from parceltide.operators import recent
+from parceltide.plans import catalog
 from parceltide.plans.store import write_by_period
 from parceltide.session import apply_session_conf, written
-from parceltide.sources import topics
+from parceltide.sources import files, topics
 from parceltide.streaming import tower
 from test_streaming import check, encoded, interleaved, publish, run_tower
 
@@ -60,3 +62,18 @@ def test_a_single_version_counts_from_its_arrival(spark):
     rows = tower.under_one_version(events.join(version, "parcel_id", "left")).orderBy("parcel_id", "at_us", "at_seq")
     assert [(r["known"], r["client_id"]) for r in rows.collect()] == [
         (False, None), (False, None), (True, "C"), (True, "C"), (False, None)]
+
+
+def test_csv_files_are_compressed(spark, folder):
+    rows = spark.range(20).select(F.col("id").cast("string").alias("a"), F.lit('x, y').alias("b"))
+    files.write_csv(rows, f"{folder}/c")
+    assert all(n.endswith(".csv.gz") for n in glob.glob(f"{folder}/c/part-*"))
+    assert sorted(files.read_csv_text(spark, f"{folder}/c").collect()) == sorted(rows.collect())
+
+
+def test_features_follow_the_ranking(spark, sf_dir):
+    """Ranked training rows are written without the derived features and read back with them."""
+    ranked = catalog._ranked(apply_session_conf(spark), sf_dir)
+    assert set(K.FEATURE_COLUMNS) <= set(ranked.columns)
+    stored = set(spark.read.parquet(*ranked.inputFiles()).columns)
+    assert "composite_risk" not in stored and "route_enc" in stored
