@@ -5,7 +5,7 @@ nearest page shares the longest URL path prefix on the same host; among those th
 that page itself and its equals, the largest (path, page_id) is taken. The lines of the two pages
 are aligned by longest common subsequence and shared lines are deleted. In an article a shared line
 may also be a passage that two articles have, which is still their text. There it is deleted only if
-it stands on ``REPEATED`` of the host's witness pages too and the larger part of the article is not
+it stands on ``REPEATED`` of the host's pages too and the larger part of the article is not
 of that kind, so that copies keep their text. Lines in containers that are never main text
 (navigation, header, footer, sidebar, notice, advert, comments) are deleted with or without a
 partner. A form or a container that only its class or id speaks against is none where an article or
@@ -14,9 +14,9 @@ of sidebars and the like too if the page has others. A form, or a wrapper whose
 layout, is none either if it holds most of a page without articles.
 
 Partners come from a minimum and a maximum per (host, path prefix), so a host with a third of all
-pages is one small row per prefix. Witnesses are up to ``WITNESSES`` pages of a host, one per residue
-of the page key; a host with fewer than ``LEAST_WITNESSES`` has no repeated lines. Only line hashes
-of partners, and those of repeated lines, are joined to pages.
+pages is one small row per prefix. Repeated lines are counted over all different pages of a host; a
+host with fewer than ``LEAST_PAGES`` has none. Only line hashes of partners, and those of repeated
+lines, are joined to pages.
 
 Defined cases: null or empty html gives an empty text; a null or unparsable url has host "" and path
 "". Path prefixes are compared to a depth of ``DEPTH`` segments. Repeated rows keep their own row.
@@ -36,8 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parceltide.llm import common
 
 DEPTH = 8
-WITNESSES = 8
-LEAST_WITNESSES = 3
+LEAST_PAGES = 3
 REPEATED = 0.75
 
 _TOKEN = re.compile(
@@ -247,18 +246,10 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
         F.max_by(partner, "depth").alias("partner_key"), F.min_by("prefix", "depth").alias("host"))
 
 
-def witness_pages(pages: DataFrame) -> DataFrame:
-    """(host as a number, page key): up to ``WITNESSES`` different pages per host."""
-    host = F.xxhash64("host", F.lit(0), F.lit(""))  # the prefix of depth 0
-    return pages.select(host.alias("host"), "key").groupBy(
-        "host", F.pmod("key", F.lit(WITNESSES)).alias("residue")).agg(F.min("key").alias("key")).drop("residue")
-
-
-def repeated_lines(witnesses: DataFrame, lines: DataFrame) -> DataFrame:
-    """(host, hashes of the lines that ``REPEATED`` of its witnesses have)."""
-    number = witnesses.groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_WITNESSES)
-    held = witnesses.join(lines, F.col("key") == F.col("partner_key")).select(
-        "host", F.explode(F.array_distinct("partner")).alias("line"))
+def repeated_lines(lines: DataFrame) -> DataFrame:
+    """(host, hashes of the lines that ``REPEATED`` of its pages have); ``lines`` has one row per different page."""
+    number = lines.groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_PAGES)
+    held = lines.select("host", F.explode(F.array_distinct("partner")).alias("line"))
     return held.groupBy("host", "line").agg(F.count("*").alias("on")).join(number, "host").filter(
         F.col("on") >= REPEATED * F.col("n")).groupBy("host").agg(F.collect_list("line").alias("repeated"))
 
@@ -269,17 +260,16 @@ def extract(pages: DataFrame) -> DataFrame:
     near = nearest_pages(parts)
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lines = [[line_hash(t) for _, t in page_lines(h.as_py())] for h in batch.column(1)]
+        lines = [[line_hash(t) for _, t in page_lines(h.as_py())] for h in batch.column(2)]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(lines, pa.list_(pa.int64()))], ["partner_key", "partner"])
+            [batch.column(0), batch.column(1), pa.array(lines, pa.list_(pa.int64()))], ["partner_key", "host", "partner"])
 
-    witnesses = common.written(witness_pages(parts), "witness-pages")
-    wanted = near.select("partner_key").union(witnesses.select("key")).distinct()
+    host = F.xxhash64("host", F.lit(0), F.lit("")).alias("host")  # the prefix of depth 0
     # Hashed where they are read: only hashes are shuffled.
     lines = common.written(common.per_batch(
-        parts.select("key", "html"), hashed, "partner_key bigint, partner array<bigint>"
-    ).join(wanted, "partner_key").dropDuplicates(["partner_key"]), "page-lines")
-    partners = near.join(lines, "partner_key").join(repeated_lines(witnesses, lines), "host", "left").select(
+        parts.select("key", host, "html"), hashed, "partner_key bigint, host bigint, partner array<bigint>"
+    ).dropDuplicates(["partner_key"]), "page-lines")
+    partners = near.join(lines.drop("host"), "partner_key").join(repeated_lines(lines), "host", "left").select(
         "key", "partner", "repeated").dropDuplicates(["key"])
 
     def extracted(batch: pa.RecordBatch) -> pa.RecordBatch:
