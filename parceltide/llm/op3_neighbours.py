@@ -3,12 +3,14 @@
 Vectors are packed into blocks of int8 codes with their scales, norms and rounding errors. Query blocks
 meet candidate blocks in tiles; one matrix product of the codes, exact in single precision, gives all inner
 products with a bound on their quantisation error. Pairs whose upper bound is below the k-th best lower bound
-of their query are dropped, within a task first, then over all tasks; only those that are left fetch their
-original vectors and are computed again in double precision.
+of their query are dropped, at the end of a task first, then over all tasks; only those that are left fetch their
+original vectors and are computed again in double precision. Of the candidates with equal vectors the k + 1 smallest
+ids are enough: a list of k without the query's own id names no others.
 
-Only codes travel to the tiles. Candidate blocks are dealt to groups, and each query block is sent to every
-group of its length, so there are as many tasks as groups, however few query blocks there are. A stated query set
-against all rows in blocks is the method; ``BLOCK_ROWS`` x ``QUERY_ROWS`` bounds a tile.
+Only codes travel to the tiles. Query blocks are dealt to as many shares as keep the cores busy, and a task takes a
+share through all candidate blocks. While there are fewer query blocks than that, candidate blocks are dealt to
+groups as well. So the pairs of a query that leave the tiles do not grow with the table. A stated query set against
+all rows in blocks is the method; ``BLOCK_ROWS`` x ``QUERY_ROWS`` bounds a tile.
 
 The search is exact: bounds hold for every pair. Defined cases: vectors that are null, empty, zero, or hold null
 or non-finite components take no part, nor do rows without an id. Only vectors of equal length are compared. All
@@ -33,6 +35,7 @@ BLOCK_ROWS = 2048
 QUERY_ROWS = 512
 LEVELS = 127
 EXACT_DIMS = (1 << 24) // LEVELS ** 2  # products of so many codes add up exactly in single precision
+HELD = 1 << 21  # pairs that a task keeps at most until it has seen all its candidates
 
 _PARTS = ("rows", "ids", "codes", "scale", "error", "norm")
 BLOCK_SCHEMA = "dim int, " + ", ".join(f"{name} binary" for name in _PARTS)
@@ -147,43 +150,88 @@ class Floors:
         return self.floor
 
 
+class Kept:
+    """The pairs of one query block that may still be among the nearest, see ``_PAIRS``."""
+
+    def __init__(self, queries: int, k: int):
+        self.floors = Floors(queries, k)
+        self.parts: list[tuple[np.ndarray, list[np.ndarray]]] = []
+        self.size = 0
+
+    def take(self, q: Block, c: Block) -> None:
+        low, high = bounds(q, c)
+        own = q.ids[:, None] == c.ids[None, :]
+        low[own], high[own] = -np.inf, -np.inf
+        floor = self.floors.take(low, c.ids)
+        at, to = np.nonzero((high >= floor[:, None]) & ~own)
+        self.parts.append((at, [q.rows[at], q.ids[at], c.rows[to], c.ids[to], low[at, to], high[at, to]]))
+        self.size += len(at)
+
+    def prune(self) -> None:
+        """Drop what the floors have risen above since it was taken."""
+        if self.parts:
+            at = np.concatenate([a for a, _ in self.parts])
+            pairs = [np.concatenate(x) for x in zip(*(p for _, p in self.parts), strict=True)]
+            left = pairs[-1] >= self.floors.floor[at]
+            self.parts = [(at[left], [x[left] for x in pairs])]
+            self.size = int(left.sum())
+
+    def pop(self) -> pa.RecordBatch:
+        self.prune()
+        pairs, self.parts, self.size = self.parts[0][1], [], 0
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], [f.split()[0] for f in _PAIRS.split(", ")])
+
+
 def _tiles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floors: dict[int, Floors] = {}
+        kept: dict[int, Kept] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 q = Block(row["dim"], *(row[f"q_{name}"] for name in _PARTS))
                 c = Block(row["dim"], *(row[name] for name in _PARTS))
-                low, high = bounds(q, c)
-                own = q.ids[:, None] == c.ids[None, :]
-                low[own], high[own] = -np.inf, -np.inf
-                floor = floors.setdefault(row["q"], Floors(len(q.ids), k)).take(low, c.ids)
-                at, to = np.nonzero((high >= floor[:, None]) & ~own)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (q.rows[at], q.ids[at], c.rows[to], c.ids[to], low[at, to], high[at, to])],
-                    [field.split()[0] for field in _PAIRS.split(", ")])
+                kept.setdefault(row["q"], Kept(len(q.ids), k)).take(q, c)
+            for held in kept.values():
+                held.prune()
+            if sum(held.size for held in kept.values()) > HELD:  # pairs leave early rather than fill the memory
+                yield from (held.pop() for held in kept.values() if held.size)
+        yield from (held.pop() for held in kept.values() if held.size)
 
     return run
 
 
-def grid(queries: DataFrame, candidates: DataFrame, groups: int) -> DataFrame:
-    """Every query block next to every candidate block of its length, dealt by candidate group."""
-    sent = queries.withColumn("q", F.monotonically_increasing_id()).withColumn(
-        "g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    sent = sent.select("dim", "g", "q", *[F.col(c).alias(f"q_{c}") for c in _PARTS])
-    dealt = candidates.withColumn("g", F.pmod(F.xxhash64("rows"), F.lit(groups)).cast("int"))
-    return sent.join(dealt, ["dim", "g"])
+def grid(queries: DataFrame, candidates: DataFrame, groups: int, shares: int = 1) -> DataFrame:
+    """Every query block next to every candidate block of its length, dealt by share of the query blocks and by
+    candidate group. Candidate blocks are the streamed side, so a task goes through them once."""
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    share = F.pmod("part", F.lit(shares)) if "part" in queries.columns else F.lit(0)
+    sent = queries.withColumn("q", F.monotonically_increasing_id()).withColumn("share", share).withColumn(
+        "g", numbers(groups))
+    sent = sent.select("dim", "share", "g", "q", *[F.col(c).alias(f"q_{c}") for c in _PARTS])
+    dealt = candidates.withColumn("g", F.pmod(F.xxhash64("rows"), F.lit(groups)).cast("int")).withColumn(
+        "share", numbers(shares))
+    return dealt.join(sent.hint("merge"), ["dim", "share", "g"])
+
+
+def smallest_of_equals(rows: DataFrame, n: int) -> DataFrame:
+    """Of the rows with one vector the ``n`` smallest ids."""
+    nth = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    return rows.withColumn("nth", nth).filter(F.col("nth") <= n).drop("nth")
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest candidates per query."""
+    spark = vectors.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(common.ARROW_ROWS))
     rows = common.written(usable(vectors).withColumn("row", F.monotonically_increasing_id()), "vectors")
-    candidates = common.written(blocks(rows, BLOCK_ROWS), "vector-blocks")
+    candidates = common.written(blocks(smallest_of_equals(rows, k + 1), BLOCK_ROWS), "vector-blocks")
     asked = rows.filter(is_query)
-    queries = common.written(blocks(asked.repartition(max(1, -(-asked.count() // QUERY_ROWS))), QUERY_ROWS), "query-blocks")
-    # Each group keeps its own k best of a query, so there are no more groups than keep the cores busy.
-    groups = max(1, min(candidates.count(), 2 * vectors.sparkSession.sparkContext.defaultParallelism))
-    pairs = common.written(grid(queries, candidates, groups).mapInArrow(_tiles(k), _PAIRS), "near-pairs")
+    queries = common.written(blocks(asked.repartition(max(1, -(-asked.count() // QUERY_ROWS))), QUERY_ROWS).withColumn(
+        "part", F.spark_partition_id()), "query-blocks")
+    # Each candidate group keeps its own k best of a query, so there is more than one only where shares are few.
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    shares = max(1, min(queries.count(), tasks))
+    groups = max(1, min(candidates.count(), -(-tasks // shares)))
+    pairs = common.written(grid(queries, candidates, groups, shares).mapInArrow(_tiles(k), _PAIRS), "near-pairs")
     # Over all tasks: the k-th best lower bound of different ids is a floor for the upper bounds.
     ranked = pairs.groupBy("query_id", "vec_id").agg(F.max("low").alias("low")).withColumn(
         "nth", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("low"))))

@@ -167,6 +167,22 @@ def test_neighbour_tiles_use_codes_only_and_more_tasks_than_query_blocks(spark,
     assert all(len(r["codes"]) == len(r["ids"]) // 8 * dim for r in candidates.collect())  # a byte a component
 
 
+def test_pairs_that_leave_the_tiles_do_not_grow_with_copies_or_blocks(spark, folder, monkeypatch):
+    monkeypatch.setattr(op3, "BLOCK_ROWS", 16)
+    seen = []
+    real = common.written
+    monkeypatch.setattr(common, "written", lambda df, name: (out := real(df, name), seen.append((name, out)))[0])
+    rng = np.random.default_rng(11)
+    rows = [(i, [1.0, 0.5, 0.25]) for i in range(400)] + [
+        (i, [float(x) for x in rng.normal(size=3)]) for i in range(400, 1200)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(1)
+    got = op3.search(vectors, F.col("vec_id") % 20 == 0, 5).collect()
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == brute_neighbours(rows, 5)
+    pairs = next(df for name, df in seen if name == "near-pairs")
+    # Sixty queries, of which twenty have 399 copies, in one share and as many groups as keep eight cores busy.
+    assert pairs.count() < 60 * 16 * 2 * 6
+
+
 def test_products_of_codes_are_exact():
     rng = np.random.default_rng(5)
     for dim in (3, op3.EXACT_DIMS, 3 * op3.EXACT_DIMS + 1):
