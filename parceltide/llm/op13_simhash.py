@@ -11,10 +11,11 @@ A fingerprint is indexed in each used part under its own value and probes the va
 bucket is what meets on one value. Small buckets are compared pair by pair. In a large one all are compared with
 one hub only; if that leaves several components, the bucket stays open. While open buckets hold many fingerprints
 they are split again by the remaining bits into apart + 1 parts, of which a linked pair agrees in one. What few
-fingerprints are left are united by midpoints: two are linked if and only if some value is within half of ``apart``
-of both, so all that share one belong together. So a large group of near copies costs its size times a constant,
-not its square, and no link between components is lost. Pairs that buckets propose are verified on the whole
-fingerprints.
+fingerprints are left are compared in tiles, each of which gives a spanning forest of its links and no more, while
+that is less work than their midpoints, else united by midpoints: two are linked if and only if some value is within
+half of ``apart`` of both, so all that share one belong together. So a large group of near copies costs its size times
+a constant, not its square, and no link between components is lost. Pairs that buckets propose are verified on the
+whole fingerprints.
 
 Equal fingerprints are one class throughout. Defined cases: a null or empty text and one without words has the
 fingerprint zero, which links like any other; fewer words than a shingle are one shingle; a null doc_id names a
@@ -44,6 +45,8 @@ SEED = 42
 SLICE = 1 << 16  # shingles hashed at once
 PAIR_COST = 0.2  # of comparing two fingerprints, in entries
 SMALL = 64  # members of a bucket that is compared pair by pair
+TILED = 1 << 15  # open fingerprints up to which all are compared with all
+TILE = 1 << 11  # fingerprints of one side of a tile, about
 MIDPOINTS = 128  # values around open fingerprints, per fingerprint of the table, up to which they are listed
 
 
@@ -180,6 +183,7 @@ def allocate(agreeing: list[float], groups: list[tuple[int, ...]], share: np.nda
 
 
 def choose_parts(classes: DataFrame, total: int, apart: int = APART) -> list[Part]:
+    total = max(total, 1)  # without a fingerprint every choice would cost nothing, the longest list of probes too
     both = moments(classes)
     share = np.diag(both) / max(total, 1)
     splits = {m: correlated_groups(both, total, m) for m in range(2, apart + 2)}
@@ -246,6 +250,51 @@ def links_within(sized: DataFrame, apart: int) -> DataFrame:
     return large.select(F.col("hub").alias("a"), F.col("fp").alias("b")).union(pairs.select("a", "b")).distinct()
 
 
+def forest(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Of the links from ``a`` to ``b`` as many as connect what all of them connect."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    kept = []
+    for x, y in zip(a, b, strict=True):
+        one, other = find(x), find(y)
+        if one != other:
+            parent[one] = other
+            kept.append((x, y))
+    return kept
+
+
+def tiled_links(members: DataFrame, count: int, apart: int) -> DataFrame:
+    """Links (a, b) between the components of ``members(fp, component)``, ``count`` rows, that hold fingerprints within
+    ``apart``: all are compared with all, and each tile gives no more links than connect its components."""
+    sides = max(1, -(-count // TILE))
+    side = F.pmod(F.xxhash64("fp"), F.lit(sides)).cast("int")
+    dealt = members.select("fp", "component", side.alias("side"), F.explode(
+        F.sequence(F.lit(0), F.lit(sides - 1))).alias("other")).select(
+        "fp", "component", (F.col("side") <= F.col("other")).alias("low"), (F.col("side") >= F.col("other")).alias("high"),
+        F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+
+    def made(tile: pa.Table) -> pa.Table:
+        fp = tile.column("fp").to_numpy().view(np.uint64)
+        component = tile.column("component").to_numpy()
+        low, high = (np.flatnonzero(tile.column(name).to_numpy()) for name in ("low", "high"))
+        a, b = [], []
+        for at in range(0, len(low), 256):
+            some = low[at:at + 256]
+            near = (np.bitwise_count(fp[some, None] ^ fp[high]) <= apart) & (component[some, None] != component[high])
+            x, y = np.nonzero(near)
+            found = np.unique(np.stack((component[some[x]], component[high[y]])), axis=1)
+            kept = forest([*a, *found[0].tolist()], [*b, *found[1].tolist()])
+            a, b = [x for x, _ in kept], [y for _, y in kept]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("i", "j").applyInArrow(made, "a bigint, b bigint").distinct()
+
+
 def midpoint_links(members: DataFrame, apart: int) -> DataFrame:
     """Links (a, b) between the components of ``members(fp, component)`` that hold fingerprints within ``apart``, which
     is even. A value is within half of that of a bounded number of fingerprints."""
@@ -298,6 +347,9 @@ def linked(classes: DataFrame, parts: list[Part], apart: int = APART) -> DataFra
         count = left.count()
         if not count:
             return named
+        if count <= TILED:
+            links = tiled_links(left, count, apart).union(named.filter("node <> component"))
+            return components(common.written(links, "near"))
         values = sum(comb(BITS, r) for r in range(apart // 2 + 1))
         if apart % 2 == 0 and count * values <= MIDPOINTS * total:
             links = midpoint_links(left, apart).union(named.filter("node <> component"))

@@ -255,6 +255,31 @@ def test_large_buckets_lose_no_link(spark, monkeypatch, small, midpoints):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("small,midpoints", [(2, 0), (64, 0), (2, 10_000), (64, 128)])
+def test_large_buckets_lose_no_link_without_tiles(spark, monkeypatch, small, midpoints):
+    monkeypatch.setattr(op13, "TILED", 0)
+    test_large_buckets_lose_no_link(spark, monkeypatch, small, midpoints)
+
+
+@pytest.mark.parametrize("tile", [16, 10_000])
+def test_tiles_of_open_fingerprints_give_a_forest(spark, monkeypatch, tile):
+    """As many links as fingerprints at most, however large a group is, and none is lost."""
+    monkeypatch.setattr(op13, "TILE", tile)
+    prints = _clouds(7)
+    members = spark.createDataFrame([(op13.signed(p), op13.signed(p)) for p in prints], "fp bigint, component bigint")
+    links = op13.tiled_links(members, len(prints), 4).collect()
+    sides = max(1, -(-len(prints) // tile))
+    assert len(links) < len(prints) * (sides + 1)
+    group = {op13.signed(p): g for p, g in zip(prints, brute_groups(prints), strict=True)}
+    assert all(group[r["a"]] == group[r["b"]] for r in links)
+    assert len(op13.forest([r["a"] for r in links], [r["b"] for r in links])) == len(prints) - len(set(group.values()))
+
+
+def test_an_empty_table_has_few_probes(spark):
+    parts = op13.choose_parts(_classes(spark, [1]).filter("false"), 0)
+    assert sum(len(part.flips()) for part in parts) < 100
+
+
 def test_every_allocation_covers_all_pairs(spark):
     """Whatever thresholds are chosen, a pair at the limit meets in a bucket."""
     rng = np.random.default_rng(6)
