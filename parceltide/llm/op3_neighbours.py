@@ -231,7 +231,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     tasks = 2 * spark.sparkContext.defaultParallelism
     shares = max(1, min(queries.count(), tasks))
     groups = max(1, min(candidates.count(), -(-tasks // shares)))
-    pairs = common.written(grid(queries, candidates, groups, shares).mapInArrow(_tiles(k), _PAIRS), "near-pairs")
+    # Each task that sees a part of a group keeps its own k best as well, so groups are not split.
+    split = "spark.sql.adaptive.skewJoin.enabled"
+    before = spark.conf.get(split)
+    spark.conf.set(split, "false")
+    try:
+        pairs = common.written(grid(queries, candidates, groups, shares).mapInArrow(_tiles(k), _PAIRS), "near-pairs")
+    finally:
+        spark.conf.set(split, before)
     # Over all tasks: the k-th best lower bound of different ids is a floor for the upper bounds.
     ranked = pairs.groupBy("query_id", "vec_id").agg(F.max("low").alias("low")).withColumn(
         "nth", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("low"))))
