@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from parceltide.session import shared_dir
+from parceltide.session import release, removed, shared_dir  # noqa: F401
 
 # Rows of one Arrow batch: long texts times this many rows have to fit beside the JVM.
 ARROW_ROWS = 512
@@ -32,22 +31,6 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def removed(df: DataFrame) -> None:
-    """Delete the files of a table that ``written`` made and nobody reads any more."""
-    spark = df.sparkSession
-    names = df.inputFiles()
-    if names:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(names[0])).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished steps. It learns what is unreachable from a collection
-    of the driver's garbage, which else may be half an hour away."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def by_position(docs: DataFrame, *needed: str) -> DataFrame:
     """``docs`` with its columns named ``_own_0``, ``_own_1`` and so on, and the ``needed`` ones next to them, so that no
     name of the input can meet one of an operator's own, whatever its case."""

@@ -1,15 +1,16 @@
 """What is written and shuffled between steps: no more than the next step needs."""
 
 import glob
+import os
 
 from pyspark.sql import functions as F
 
 from parceltide import constants as K
 from parceltide.operators import recent
-from parceltide.plans import catalog
+from parceltide.plans import catalog, store
 from parceltide.plans.store import write_by_period
 from parceltide.session import apply_session_conf, written
-from parceltide.sources import files, topics
+from parceltide.sources import files, testdata, topics
 from parceltide.streaming import tower
 from test_streaming import check, encoded, interleaved, publish, run_tower
 
@@ -52,6 +53,32 @@ def test_messages_travel_to_the_log_only(spark, folder):
     assert tables.log.filter("raw_payload IS NULL").count() == 0
 
 
+def test_steps_are_dropped_once_a_batch_needs_them_no_more(spark, folder):
+    messages = interleaved(8)
+    rows = encoded(messages)
+    for part in (rows[:60], rows[60:]):
+        publish(spark, part, f"{folder}/in")
+    tables = run_tower(spark, f"{folder}/in", f"{folder}/out", refresh_kpi=True, dedup_days=36_500.0, keep_steps=False)
+    assert tables.published() == 1
+    assert not any(tables.has(f"{step}/batch_id={n}") for step in tower._STEPS for n in (0, 1))
+    kept = run_tower(spark, f"{folder}/in", f"{folder}/kept", refresh_kpi=True, dedup_days=36_500.0)
+    assert sorted(map(str, tables.state.collect())) == sorted(map(str, kept.state.collect()))
+    assert sorted(map(str, tables.kpis.collect())) == sorted(map(str, kept.kpis.collect()))
+
+
+def test_tables_of_the_store_are_derived_when_they_are_read(spark, sf_dir, folder):
+    apply_session_conf(spark)
+    given = (testdata.planned_shipments(spark, sf_dir), testdata.delivery_events(spark, sf_dir),
+             ("planned_pickup", "planned_delivery"))
+    lazy = store.lazy_store(spark, f"{folder}/lazy", *given, log_unit="year")
+    whole = store.build_store(spark, f"{folder}/whole", *given, log_unit="year")
+    assert {os.path.basename(n) for n in glob.glob(f"{folder}/lazy/*")} == {"planned_shipments", "delivery_events_log"}
+    assert lazy.periods("alerts") == whole.periods("alerts") and lazy.periods("error_logs") == whole.periods("error_logs")
+    for name in ("plan", "state", "alerts", "errors"):
+        a, b = (getattr(s, name).drop("updated_at") for s in (lazy, whole))
+        assert a.columns == b.columns and a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+
+
 def test_a_single_version_counts_from_its_arrival(spark):
     columns = "parcel_id string, at_us bigint, at_seq string"
     version = spark.createDataFrame([("A", 5, "b"), ("B", 5, "b")], columns).selectExpr(
