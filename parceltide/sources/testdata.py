@@ -31,7 +31,11 @@ def _pick(values: list, index: Column) -> Column:
 
 def order_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transport plan of every order, whether or not it is released."""
-    orders = table(spark, sf_dir, "orders")
+    return with_plans(table(spark, sf_dir, "orders"))
+
+
+def with_plans(orders: DataFrame, *keep: str) -> DataFrame:
+    """Order rows mapped to their plans, with the columns in ``keep`` in front."""
     k = F.col("o_orderkey")
     route = k % 7
     origins = [_HUB_BY_CITY[row[1]] for row in K.ROUTE_SEED]
@@ -48,7 +52,7 @@ def order_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(F.col("_weather") == name, F.lit(value).cast("bigint"))
          for name, value in _FACTOR_TENTHS.items()], F.lit(None).cast("bigint"))
     staged = orders.select(
-        k.alias("order_key"),
+        *keep, k.alias("order_key"),
         F.concat(F.lit("FR"), (k + 100000).cast("string")).alias("parcel_id"),
         _pick(_CLIENTS, F.col("o_custkey") % 5).alias("client_id"),
         _pick([row[0] for row in K.ROUTE_SEED], route).alias("route_id"),
@@ -69,7 +73,7 @@ def order_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_avg") * tenths * (1000 + 3 * F.col("_c")) / 10000
     ).cast("int")
     return staged.withColumn("duration_min", duration).select(
-        "order_key", "parcel_id", "client_id", "route_id", "hub_id", "dest_hub_id",
+        *keep, "order_key", "parcel_id", "client_id", "route_id", "hub_id", "dest_hub_id",
         "planned_pickup",
         F.timestamp_add("MINUTE", F.col("duration_min"), F.col("planned_pickup")).alias(
             "planned_delivery"
@@ -87,15 +91,15 @@ def planned_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delivery_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One delivery event per order line; lines of unreleased orders are unknown parcels."""
+    """One delivery event per order line; lines of unreleased orders are unknown parcels. Orders meet their lines
+    as keys and dates, and plans follow from them after the join, so their texts are not shuffled."""
     lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_key"),
+        F.col("l_orderkey"),
         F.col("l_linenumber").alias("line"),
         ((F.col("l_partkey") * 31 + F.col("l_suppkey") * 17) % 241 - 60).cast("int").alias("d"),
     )
-    plans = order_plans(spark, sf_dir).select(
-        "order_key", "parcel_id", "hub_id", "dest_hub_id", "planned_pickup", "duration_min"
-    )
+    ordered = lines.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    planned = with_plans(ordered, "line", "d")
     line, d, dur = F.col("line"), F.col("d"), F.col("duration_min")
     shift = (
         F.when(line == 1, -60)
@@ -110,7 +114,7 @@ def delivery_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     hub = F.when(at_origin, F.col("hub_id")).otherwise(F.col("dest_hub_id"))
     lat = {row[0]: row[3] for row in K.HUB_SEED}
     lon = {row[0]: row[4] for row in K.HUB_SEED}
-    events = lines.join(plans, "order_key").select(
+    events = planned.select(
         "parcel_id",
         _pick(_EVENT_TYPES, line - 1).alias("event_type"),
         F.timestamp_add("MINUTE", shift, F.col("planned_pickup")).alias("event_timestamp"),

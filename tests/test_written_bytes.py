@@ -104,3 +104,27 @@ def test_features_follow_the_ranking(spark, sf_dir):
     assert set(K.FEATURE_COLUMNS) <= set(ranked.columns)
     stored = set(spark.read.parquet(*ranked.inputFiles()).columns)
     assert "composite_risk" not in stored and "route_enc" in stored
+
+
+def test_years_are_written_without_a_sort(spark, sf_dir, folder):
+    """A task keeps a file of each year open; sorting all its rows by year spilled most of them."""
+    apply_session_conf(spark).sql(
+        f"CREATE TABLE by_year (id bigint, event_year date) USING parquet PARTITIONED BY (event_year) LOCATION '{folder}/y'")
+    try:
+        text = spark.sql("EXPLAIN INSERT INTO by_year SELECT id, DATE'2024-01-01' + CAST(id AS int) FROM range(9)").first()[0]
+    finally:
+        spark.sql("DROP TABLE by_year")
+    assert "WriteFiles" in text and "Sort" not in text
+    # More periods than open files: the rest is sorted, no row is lost.
+    when = F.timestamp_add("MONTH", F.col("id").cast("int"), F.lit("2024-01-01").cast("timestamp_ntz"))
+    write_by_period(spark.range(500).select("id", when.alias("event_timestamp")), "event_timestamp", f"{folder}/all", "year")
+    found = spark.read.parquet(f"{folder}/all")
+    assert found.count() == found.select("id").distinct().count() == 500
+    assert found.filter("year(event_year) <> year(event_timestamp)").isEmpty()
+
+
+def test_orders_meet_their_lines_without_texts(spark, sf_dir):
+    text = testdata.delivery_events(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    above, _, below = text.partition("Join")
+    assert "concat(FR" in above and "concat(FR" not in below
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:" in below
