@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from parceltide import constants as K
-from parceltide.operators import recent
+from parceltide.operators import features, recent
 from parceltide.plans import catalog, store
 from parceltide.plans.store import write_by_period
 from parceltide.session import apply_session_conf, written
@@ -128,3 +128,35 @@ def test_orders_meet_their_lines_without_texts(spark, sf_dir):
     above, _, below = text.partition("Join")
     assert "concat(FR" in above and "concat(FR" not in below
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:" in below
+
+
+def _training_steps(monkeypatch):
+    seen = {}
+
+    def watched(df, purpose):
+        seen[purpose] = df.columns
+        return written(df, purpose)
+
+    monkeypatch.setattr(features, "written", watched)
+    return seen
+
+
+def test_report_carries_what_labels_and_predictions_need(spark, sf_dir, monkeypatch):
+    seen = _training_steps(monkeypatch)
+    report = catalog.queries()["classification_report"](spark, sf_dir)
+    assert set(seen["picked"]) == {"parcel_id", "planned_delivery", "route_id", "weather_condition", "congestion_level",
+                                   "pickups", "actual_pickup", "delivered"}
+    assert "LeftAnti" not in report._jdf.queryExecution().executedPlan().toString()
+
+
+def test_training_rows_of_odd_parcels(spark):
+    """No parcel number, plans sent twice, deliveries without a time, scans of unplanned parcels, no scans."""
+    day = "timestamp_ntz'2024-01-01 00:00:00'"
+    plan = spark.sql(f"SELECT explode(array('A', 'A', 'B', 'C', 'D', null)) AS parcel_id, {day} AS planned_delivery")
+    events = spark.sql(f"""SELECT * FROM VALUES ('A', 'pickup', {day}), ('A', 'pickup', null), ('A', 'delivered', {day}),
+        ('A', 'delivered', {day}), ('A', 'delivered', null), ('B', 'pickup', {day}), ('C', 'delivered', {day}), ('X', 'delivered', {day}),
+        (null, 'delivered', {day}), (null, 'pickup', {day}), ('D', null, {day}) AS e(parcel_id, event_type, event_timestamp)""")
+    got = sorted((str(r["parcel_id"]), r["actual_pickup"] is None, r["actual_delivery"] is None, r["copies"])
+                 for r in features.training_set(plan, events).collect())
+    assert got == [("A", False, False, 4), ("A", False, False, 4), ("A", False, True, 2), ("A", False, True, 2),
+                   ("B", False, True, 1), ("C", True, False, 1), ("D", True, True, 1), ("None", True, True, 1)]
