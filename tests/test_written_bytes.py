@@ -160,3 +160,16 @@ def test_training_rows_of_odd_parcels(spark):
                  for r in features.training_set(plan, events).collect())
     assert got == [("A", False, False, 4), ("A", False, False, 4), ("A", False, True, 2), ("A", False, True, 2),
                    ("B", False, True, 1), ("C", True, False, 1), ("D", True, True, 1), ("None", True, True, 1)]
+
+
+def test_ranked_rows_hold_what_is_read(spark, sf_dir):
+    """Neither the hash that orders the rows nor plan columns that no feature reads are written."""
+    ranked = catalog._ranked(apply_session_conf(spark), sf_dir)
+    assert set(spark.read.parquet(*ranked.inputFiles()).columns) == {
+        "parcel_id", "actual_delivery", "risk_label", "copies", "route_id", "planned_pickup", "planned_delivery",
+        "weather_condition", "congestion_level", "distance_km", "weight_kg", "route_enc", "weather_enc", "client_enc", "hub_enc"}
+    key = F.md5(F.concat_ws("|", "parcel_id", F.coalesce(F.col("actual_delivery").cast("string"), F.lit("-")), F.lit("42")))
+    by_hash = {}
+    for label, rank, _ in ranked.select("risk_label", "group_rank", key.alias("key")).orderBy("risk_label", "key").collect():
+        by_hash.setdefault(label, []).append(rank)
+    assert by_hash and all(ranks == list(range(len(ranks))) for ranks in by_hash.values())
