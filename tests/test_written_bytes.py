@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parceltide import constants as K
 from parceltide.operators import features, recent
+from parceltide.operators.ordinal import write_ranked
 from parceltide.plans import catalog, store
 from parceltide.plans.store import write_by_period
 from parceltide.session import apply_session_conf, written
@@ -173,3 +174,35 @@ def test_ranked_rows_hold_what_is_read(spark, sf_dir):
     for label, rank, _ in ranked.select("risk_label", "group_rank", key.alias("key")).orderBy("risk_label", "key").collect():
         by_hash.setdefault(label, []).append(rank)
     assert by_hash and all(ranks == list(range(len(ranks))) for ranks in by_hash.values())
+
+
+def test_plans_sent_again_hold_what_an_upsert_takes(spark, sf_dir):
+    sent = catalog._later_plans(spark, sf_dir)
+    assert sent.columns == ["parcel_id", "client_id", "route_id", "hub_id", "planned_pickup", "planned_delivery",
+                            "weather_condition", "congestion_level"]
+    assert "distance_km" not in sent._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scans_are_split_finely_unless_the_cluster_says_otherwise(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        assert apply_session_conf(spark).conf.get(key) == "32m"
+        spark.conf.set(key, "16m")
+        assert apply_session_conf(spark).conf.get(key) == "16m"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_ranked_rows_are_not_shuffled_again(spark, folder):
+    """Whatever Spark thinks of the size of the counts per file."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = write_ranked(spark.range(1000).withColumn("g", F.col("id") % 2), "g", [F.md5(F.col("id").cast("string"))], folder)
+        assert sorted(ranked.columns) == ["g", "group_rank", "group_size", "id"]
+        assert {(r["g"], r["group_rank"]) for r in ranked.collect()} == {(g, n) for g in (0, 1) for n in range(500)}
+        assert "SortMergeJoin" not in ranked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
